@@ -18,6 +18,24 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .token_files import round_trip
+
+    return round_trip(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=0)
+
+
+def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .katz import score
+
+    return score(table(spark, sf_dir, "documents"), order=2, folds=10)
+
+
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .rules import score
+
+    return score(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -25,6 +43,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_token_files": op6_token_files,
+    "op7_katz_backoff": op7_katz_backoff,
+    "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
