@@ -18,6 +18,20 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import line_crf
+
+    documents = table(spark, sf_dir, "documents")
+    model = line_crf.train(documents, table(spark, sf_dir, "labels"), folds=3, left_out=1)
+    return line_crf.score(documents, model, folds=3, left_out=1)
+
+
+def op2_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pages import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import round_trip
 
@@ -30,6 +44,14 @@ def op7_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(table(spark, sf_dir, "documents"), order=2, folds=10)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    documents = table(spark, sf_dir, "documents")
+    model = toxicity.train(documents, table(spark, sf_dir, "labels"), folds=5, left_out=0)
+    return toxicity.score(documents, model, folds=5, left_out=0)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rules import score
 
@@ -43,8 +65,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_crf": op1_line_crf,
+    "op2_host_paths": op2_host_paths,
     "op6_token_files": op6_token_files,
     "op7_katz_backoff": op7_katz_backoff,
+    "op8_toxicity": op8_toxicity,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
