@@ -17,9 +17,15 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: The ASCII letters' lower case; other letters stay.
 LOWER = {c: c + 32 for c in range(65, 91)}
-#: Bytes of a text may not be words: the same cut over UTF-8.
+#: The same over UTF-8.
 LOWER_BYTES = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
+
+def lower_words(text: str | None) -> list[bytes]:
+    """The words of a text in lower case (A-Z), as UTF-8: split() cuts bytes at \\x20 and \\x09-\\x0D alone."""
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_BYTES).split()
+
+
 _OWN_FOLDER: list[str] = []
 
 

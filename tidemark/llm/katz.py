@@ -39,13 +39,13 @@ from .storage import dump, dump_sorted, load, load_sorted, pack, read_file, slic
 DISCOUNTED = 5
 #: Tokens in a batch, about.
 BATCH_TOKENS = 2_000_000
-END, START = "", "\n"  # neither is a word
+END, START = b"", b"\n"  # neither is a word
 MESSAGE = "batch long, part int, keys binary, a binary, b binary, c binary"
 REPLY = "kind string, batch long, part int, keys binary, a binary, b binary, stats array<double>"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def word_hash(word: str) -> int:
+def word_hash(word: bytes) -> int:
     return xxhash.xxh3_64_intdigest(word)
 
 
@@ -131,7 +131,7 @@ def tokenise(documents: DataFrame, files: Files, folds: int, bits: int) -> DataF
         docs: list[int | None] = []
         lengths: list[int] = []
         parts: list[np.ndarray] = []
-        number: dict[str, int] = {}
+        number: dict[bytes, int] = {}
         held = 0
 
         def close() -> pa.RecordBatch:
@@ -158,7 +158,7 @@ def tokenise(documents: DataFrame, files: Files, folds: int, bits: int) -> DataF
 
         for rows in batches:
             for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-                words = common.WORD.findall((text or "").translate(common.LOWER)) + [END]
+                words = common.lower_words(text) + [END]
                 for word in set(words).difference(number):
                     number[word] = len(number)
                 parts.append(np.fromiter(map(number.__getitem__, words), dtype=np.uint32, count=len(words)))

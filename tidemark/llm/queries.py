@@ -32,6 +32,18 @@ def op2_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import join
+
+    return join(table(spark, sf_dir, "documents"), size=5, percent=75)
+
+
+def op5_kd_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .kdtree import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"), k=20, every=20, scale=64)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_files import round_trip
 
@@ -67,6 +79,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_host_paths": op2_host_paths,
+    "op4_jaccard_join": op4_jaccard_join,
+    "op5_kd_top_k": op5_kd_top_k,
     "op6_token_files": op6_token_files,
     "op7_katz_backoff": op7_katz_backoff,
     "op8_toxicity": op8_toxicity,
