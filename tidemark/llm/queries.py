@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 
-PATHS = "public_tokenizers"
-
-
 def vocabulary(name: str) -> str:
     """A public vocabulary's file; the module is there on every machine."""
     import public_tokenizers
@@ -32,6 +29,12 @@ def op2_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pieces import round_trip
+
+    return round_trip(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"), seed=7, dropout=0.1)
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .jaccard import join
 
@@ -79,6 +82,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_crf": op1_line_crf,
     "op2_host_paths": op2_host_paths,
+    "op3_merge_dropout": op3_merge_dropout,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_kd_top_k": op5_kd_top_k,
     "op6_token_files": op6_token_files,
