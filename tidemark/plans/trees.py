@@ -1 +1,180 @@
-"""Queries."""
+"""Queries on hierarchies and trees: region -> nation -> customer, and clades of part types."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.operators import trees
+from tidemark.sources import standins
+
+from .registry import query
+
+#: Node numbers: regions from 1,000,000, nations from 2,000,000, customers as they are; 3,000,000 is the root.
+NODES = """
+nodes AS (
+  SELECT 3000000 AS node, CAST(NULL AS BIGINT) AS parent UNION ALL SELECT 1000000 + r_regionkey, 3000000 FROM region
+  UNION ALL SELECT 2000000 + n_nationkey, 1000000 + n_regionkey FROM nation UNION ALL SELECT c_custkey, 2000000 + c_nationkey FROM customer),
+pairs AS (
+  WITH RECURSIVE up(ancestor, descendant, distance) AS (
+    SELECT node, node, 0 FROM nodes UNION ALL SELECT n.parent, u.descendant, u.distance + 1 FROM up u JOIN nodes n ON u.ancestor = n.node WHERE n.parent IS NOT NULL)
+  SELECT * FROM up),
+leaves AS (SELECT c_custkey AS node, c_mktsegment AS label, c_custkey * 2654435761 % 4294967296 AS leaf_id FROM customer)"""
+
+
+def _nodes(spark, sf_dir):
+    read = lambda name: standins.table(spark, sf_dir, name)
+    rows = spark.range(1).select(F.lit(3000000).cast("long").alias("node"), F.lit(None).cast("long").alias("parent"))
+    for part in (
+        read("region").select((F.col("r_regionkey") + 1000000).cast("long").alias("node"), F.lit(3000000).cast("long").alias("parent")),
+        read("nation").select((F.col("n_nationkey") + 2000000).cast("long").alias("node"), (F.col("n_regionkey") + 1000000).cast("long").alias("parent")),
+        read("customer").select(F.col("c_custkey").alias("node"), (F.col("c_nationkey") + 2000000).cast("long").alias("parent")),
+    ):
+        rows = rows.unionByName(part)
+    return rows
+
+
+def _pairs(spark, sf_dir):
+    return trees.closure(spark, _nodes(spark, sf_dir))
+
+
+def _leaves(spark, sf_dir):
+    key = F.col("c_custkey")
+    return standins.table(spark, sf_dir, "customer").select(key.alias("node"), F.col("c_mktsegment").alias("label"), (key * 2654435761 % 4294967296).alias("leaf_id"))
+
+
+@query(f"WITH {NODES} SELECT * FROM pairs")
+def closure(spark, sf_dir):
+    return _pairs(spark, sf_dir)
+
+
+@query(f"WITH {NODES} SELECT descendant AS node, max(distance) AS depth FROM pairs GROUP BY 1")
+def depth(spark, sf_dir):
+    return trees.depths(_pairs(spark, sf_dir))
+
+
+@query(f"WITH {NODES} SELECT ancestor AS node, count(*) AS n_leaves, count(DISTINCT label) AS n_labels FROM pairs JOIN leaves ON descendant = leaves.node GROUP BY 1")
+def subtree_counts(spark, sf_dir):
+    return trees.subtree_counts(_pairs(spark, sf_dir), _leaves(spark, sf_dir))
+
+
+@query(f"WITH {NODES} SELECT ancestor AS node, bit_xor(leaf_id) AS id FROM pairs JOIN leaves ON descendant = leaves.node GROUP BY 1")
+def node_ids_xor(spark, sf_dir):
+    return trees.node_ids(_pairs(spark, sf_dir), _leaves(spark, sf_dir))
+
+
+@query(
+    f"""WITH {NODES}, own AS (SELECT node, node % 3 AS locus, CAST(node % 7 AS VARCHAR) AS state FROM nodes),
+    seen AS (SELECT descendant AS node, locus, state, row_number() OVER (PARTITION BY descendant, locus ORDER BY distance) AS r FROM pairs JOIN own ON ancestor = own.node)
+    SELECT node, locus, state FROM seen WHERE r = 1"""
+)
+def cumulative_signature(spark, sf_dir):
+    own = _nodes(spark, sf_dir).select("node", (F.col("node") % 3).alias("locus"), (F.col("node") % 7).cast("string").alias("state"))
+    return trees.cumulative(_pairs(spark, sf_dir), own)
+
+
+@query(
+    f"""WITH {NODES}, groups AS (SELECT node, node % 400 AS grp FROM leaves WHERE node % 400 < 300),
+    above AS (SELECT grp, ancestor, count(*) AS covered, max(distance) AS height FROM groups JOIN pairs ON groups.node = descendant GROUP BY 1, 2),
+    sizes AS (SELECT grp, count(*) AS size FROM groups GROUP BY 1),
+    ok AS (SELECT grp, ancestor, row_number() OVER (PARTITION BY grp ORDER BY height, ancestor) AS r FROM above JOIN sizes USING (grp) WHERE covered = size)
+    SELECT grp AS "group", ancestor AS mrca FROM ok WHERE r = 1"""
+)
+def mrca(spark, sf_dir):
+    groups = _leaves(spark, sf_dir).where("node % 400 < 300").select("node", (F.col("node") % 400).alias("group"))
+    return trees.mrca(_pairs(spark, sf_dir), groups)
+
+
+@query(f"WITH {NODES} SELECT * FROM nodes WHERE node IN (SELECT ancestor FROM pairs WHERE descendant IN (SELECT node FROM leaves WHERE node % 60 = 1))")
+def prune(spark, sf_dir):
+    return trees.prune(_nodes(spark, sf_dir), _pairs(spark, sf_dir), _leaves(spark, sf_dir).where("node % 60 = 1"))
+
+
+@query(
+    f"""WITH {NODES}, sizes AS (SELECT ancestor AS node, count(*) AS n_leaves FROM pairs JOIN leaves ON descendant = leaves.node GROUP BY 1)
+    SELECT n.node, n.parent, row_number() OVER (PARTITION BY n.parent ORDER BY n_leaves, n.node) AS place FROM nodes n JOIN sizes USING (node) WHERE n.parent IS NOT NULL"""
+)
+def ladderize(spark, sf_dir):
+    return trees.ladderized(_nodes(spark, sf_dir), trees.subtree_counts(_pairs(spark, sf_dir), _leaves(spark, sf_dir)))
+
+
+@query(f"WITH {NODES} SELECT parent AS node FROM nodes WHERE parent IS NOT NULL GROUP BY 1 HAVING count(*) = 1")
+def unary_nodes(spark, sf_dir):
+    return trees.unary(_nodes(spark, sf_dir))
+
+
+RF = (
+    NODES
+    + """,
+total AS (SELECT count(*) AS total, bit_xor(leaf_id) AS every FROM leaves),
+a AS (SELECT DISTINCT least(id, xor(id, every)) AS split FROM (SELECT ancestor, count(*) AS n, bit_xor(leaf_id) AS id FROM pairs JOIN leaves ON descendant = leaves.node GROUP BY 1), total
+  WHERE least(n, total - n) >= 2),
+b AS (SELECT DISTINCT least(id, xor(id, every)) AS split FROM (SELECT CASE WHEN c_custkey % 50 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS g, count(*) AS n,
+    bit_xor(c_custkey * 2654435761 % 4294967296) AS id FROM customer GROUP BY 1), total WHERE least(n, total - n) >= 2),
+j AS (SELECT coalesce(x, 0) AS x, coalesce(y, 0) AS y FROM (SELECT split, 1 AS x FROM a) FULL JOIN (SELECT split, 1 AS y FROM b) USING (split))"""
+)
+
+
+@query(f"WITH {RF} SELECT sum(x) AS n_a, sum(y) AS n_b, sum(x * y) AS n_common, round(sum(abs(x - y)) * 1.0 / sum(x + y), 9) AS rf FROM j")
+def splits_rf(spark, sf_dir):
+    leaves = _leaves(spark, sf_dir)
+    a = trees.splits(_pairs(spark, sf_dir), leaves, 2)
+    moved = F.when(F.col("c_custkey") % 50 == 0, (F.col("c_nationkey") + 1) % 25).otherwise(F.col("c_nationkey"))
+    other = standins.table(spark, sf_dir, "customer").select(moved.cast("long").alias("ancestor"), F.col("c_custkey").alias("descendant"))
+    b = trees.splits(other, leaves, 2)
+    return trees.robinson_foulds(a, b)
+
+
+CLADES = """
+clade(name, parent, locus, state) AS (VALUES ('R', NULL, 0, '0'), ('R.0', 'R', 1, '0'), ('R.1', 'R', 1, '1'), ('R.0.2', 'R.0', 2, '2'), ('R.1.3', 'R.1', 2, '3'))"""
+
+
+def _assigned(spark, sf_dir):
+    rows = [("R", None, 0, "0"), ("R.0", "R", 1, "0"), ("R.1", "R", 1, "1"), ("R.0.2", "R.0", 2, "2"), ("R.1.3", "R.1", 2, "3")]
+    hierarchy = spark.createDataFrame(rows, "node string, parent string, locus int, state string")
+    above = trees.closure(spark, hierarchy)
+    depth = trees.depths(above).select(F.col("node").alias("descendant"), F.col("depth").alias("clade_depth"))
+    clades = above.join(depth, "descendant").select("ancestor", "descendant", "clade_depth")
+    own = hierarchy.select(F.col("node").alias("clade"), "locus", "state")
+    signatures = trees.cumulative(above, hierarchy.select("node", "locus", "state")).withColumnRenamed("node", "clade")
+    nodes = _nodes(spark, sf_dir)
+    levels = F.when(F.col("node") == 3000000, 0).when(F.col("node") >= 2000000, 2).when(F.col("node") >= 1000000, 1).otherwise(3)
+    leveled = nodes.withColumn("depth", levels)
+    loci = F.array(
+        F.struct(F.lit(0).alias("locus"), F.lit("0").alias("state")),
+        F.struct(F.lit(1).alias("locus"), F.when(F.col("depth") > 0, (F.col("node") % 2).cast("string")).otherwise("x").alias("state")),
+        F.struct(F.lit(2).alias("locus"), F.when(F.col("depth") > 1, (F.col("node") % 4).cast("string")).otherwise("x").alias("state")),
+    )
+    states = leveled.select("node", F.inline(loci)).where("state <> 'x'")
+    return trees.assign(spark, leveled, clades, signatures, own, states, 4)
+
+
+@query(
+    # the root shows only R's locus; below, odd nodes show R.1, even ones R.0, and the third locus refines them
+    f"""WITH {NODES},
+    seen AS (SELECT node, parent, CASE WHEN node = 3000000 THEN 0 WHEN node >= 2000000 THEN 2 WHEN node >= 1000000 THEN 1 ELSE 3 END AS depth FROM nodes),
+    level1 AS (SELECT node, 'R.' || CAST(node % 2 AS VARCHAR) AS clade FROM seen WHERE depth = 1),
+    deep AS (SELECT s.node, s.depth, s.parent, CASE WHEN node % 4 = 2 THEN 'R.0.2' WHEN node % 4 = 3 THEN 'R.1.3' ELSE 'R.' || CAST(node % 2 AS VARCHAR) END AS best FROM seen s WHERE depth >= 2),
+    level2 AS (SELECT d.node, CASE WHEN d.best = p.clade OR d.best LIKE p.clade || '.%' THEN d.best ELSE p.clade END AS clade FROM deep d JOIN level1 p ON d.parent = p.node WHERE d.depth = 2),
+    level3 AS (SELECT d.node, CASE WHEN d.best = p.clade OR d.best LIKE p.clade || '.%' THEN d.best ELSE p.clade END AS clade FROM deep d JOIN level2 p ON d.parent = p.node WHERE d.depth = 3)
+    SELECT 3000000 AS node, 'R' AS clade UNION ALL SELECT * FROM level1 UNION ALL SELECT * FROM level2 UNION ALL SELECT * FROM level3"""
+)
+def assign_clades(spark, sf_dir):
+    return _assigned(spark, sf_dir)
+
+
+@query()
+def parsimony(spark, sf_dir):
+    nodes = _nodes(spark, sf_dir)
+    sites = F.explode(F.sequence(F.lit(1), F.lit(6))).alias("site")
+    post = F.when(F.col("node") == 3000000, 3).when(F.col("node") >= 2000000, 1).when(F.col("node") >= 1000000, 2).otherwise(0)
+    rows = nodes.select(F.lit("customers").alias("tree"), sites, post.alias("post"), "node", "parent")
+    state = F.when(F.col("node") < 1000000, F.substr(F.lit("ACGT-"), (F.pmod(F.floor(F.col("node") / 60) + F.col("site"), F.lit(5)) + 1).cast("int"), F.lit(1)))
+    return trees.fitch(rows.withColumn("state", state)).groupBy("tree", "site").agg(F.max("changes").alias("changes"), F.count("*").alias("n_nodes"))
+
+
+@query()
+def newick_round_trip(spark, sf_dir):
+    """Regions and nations as Newick text, and read again."""
+    inner = _nodes(spark, sf_dir).where("node >= 1000000")
+    rows = inner.select(F.lit(1).cast("long").alias("tree"), "node", "parent", F.concat(F.lit("n"), F.col("node").cast("string")).alias("name"), F.lit(0.5).alias("length"))
+    return trees.newick(trees.write_newick(rows)).select("pre", "parent", "name", "length")

@@ -60,6 +60,6 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control series: one per user modulo 20, in event order; a tenth of the values missing."""
     return table(spark, sf_dir, "events").select(
         (F.col("user_id") % 20).alias("serum"),
-        F.col("event_id").alias("at"),
+        F.col("event_id").alias("pos"),
         F.when(F.col("event_id") % 10 == 7, F.lit(None)).otherwise(F.floor("value").cast("double") % 8).alias("value"),
     )
