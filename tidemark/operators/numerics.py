@@ -1,0 +1,237 @@
+"""Numerical operators: robust fits, serum circles, coverage, frames and map layouts."""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def theil_sen(points: DataFrame, by: str, x: str, y: str, key: str, most: int = 600) -> DataFrame:
+    """Median pairwise slope, median intercept and robust scale of each group.
+
+    Pairs are quadratic in a group, so a larger group is represented by its
+    `most` rows of smallest hashed key, a sample that every run repeats.
+    """
+    from pyspark.sql import Window
+
+    order = Window.partitionBy(by).orderBy(F.crc32(F.col(key).cast("string")), key)
+    used = points.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= most).select(by, key, x, y)
+    other = used.select(by, F.col(key).alias("__k"), F.col(x).alias("__x"), F.col(y).alias("__y"))
+    pairs = used.join(other, by).where((F.col(key) < F.col("__k")) & (F.col(x) != F.col("__x")))
+    slopes = pairs.groupBy(by).agg(F.percentile((F.col("__y") - F.col(y)) / (F.col("__x") - F.col(x)), F.lit(0.5)).alias("slope"))
+    offsets = points.join(slopes, by).groupBy(by).agg(F.first("slope").alias("slope"), F.percentile(F.col(y) - F.col("slope") * F.col(x), F.lit(0.5)).alias("intercept"))
+    residual = F.col(y) - F.col("slope") * F.col(x) - F.col("intercept")
+    scales = points.join(offsets, by).groupBy(by).agg(F.percentile(F.abs(residual), F.lit(0.5)).alias("mad"))
+    return offsets.join(scales, by).withColumn("scale", 1.4826 * F.col("mad")).drop("mad")
+
+
+def outliers(points: DataFrame, fits: DataFrame, by: str, x: str, y: str, limit: float) -> DataFrame:
+    """Points whose residual is `limit` scales or more from their group's line."""
+    z = (F.col(y) - F.col("slope") * F.col(x) - F.col("intercept")) / F.col("scale")
+    joined = points.join(fits.where("scale > 0"), by).withColumn("z", F.round(z, 6))
+    return joined.where(F.abs("z") >= limit).drop("slope", "intercept", "scale")
+
+
+def theoretical_radius(cells: DataFrame, bases: DataFrame, serum: str, fold: float) -> DataFrame:
+    """fold + basis - log of each regular titre: a serum circle's theoretical radius."""
+    log = F.log2(F.col("value") / 10.0)
+    return cells.where("kind = 'num'").join(bases, serum).withColumn("radius", F.round(fold + F.col("basis") - log, 6))
+
+
+def empirical_radius(points: DataFrame, serum: str) -> DataFrame:
+    """The radius that misplaces the fewest antigens, averaged over ties.
+
+    points: (serum, distance, protected).  Candidates are the nearest distance
+    and the midpoints of consecutive ones; for a radius r, unprotected antigens
+    within r and protected ones beyond are misplaced.  Running sums over the
+    distances count them.
+    """
+    from pyspark.sql import Window
+
+    steps = points.groupBy(serum, "distance").agg(F.count_if("protected").alias("p"), F.count_if(~F.col("protected")).alias("u"))
+    order = Window.partitionBy(serum).orderBy("distance")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy(serum)
+    # a circle that ends in the middle after a distance holds all up to it; the nearest distance holds the nearest
+    middle = (F.col("distance") + F.lead("distance").over(order)) / 2
+    counted = steps.select(
+        serum,
+        F.coalesce(middle, F.col("distance")).alias("radius"),
+        (F.sum("u").over(upto) + F.sum("p").over(every) - F.sum("p").over(upto)).alias("wrong"),
+        F.row_number().over(order).alias("r"),
+        F.col("distance"),
+        F.count("*").over(every).alias("n"),
+    )
+    candidates = counted.where("r < n or n = 1").select(serum, "radius", "wrong").unionByName(counted.where("r = 1 and n > 1").select(serum, F.col("distance").alias("radius"), "wrong"))
+    best = candidates.withColumn("least", F.min("wrong").over(every)).where("wrong = least")
+    return best.groupBy(serum).agg(F.round(F.avg("radius"), 6).alias("radius"), F.min("wrong").alias("n_wrong"))
+
+
+def coverage(cells: DataFrame, homologous: DataFrame, serum: str, fold: float) -> DataFrame:
+    """Antigens within and outside a fold of the homologous titre; missing and dodgy apart."""
+    log = F.log2(F.col("value") / 10.0)
+    shown = F.when(F.col("kind") == "lt", log - 1).when(F.col("kind") == "gt", log + 1).otherwise(log)
+    limit = F.col("homologous_log") - fold
+    joined = cells.join(homologous, serum).where(limit > 0)
+    known = F.col("kind").isNotNull()
+    return joined.groupBy(serum).agg(F.count_if(known & (shown >= limit)).alias("n_within"), F.count_if(known & (shown < limit)).alias("n_outside"), F.count_if(~known).alias("n_unknown"))
+
+
+def frame(points: DataFrame, width: float, height: float, step: float) -> DataFrame:
+    """The lower left corner, on a grid, of the window that holds the most points; ties to the least x, then y.
+
+    Each point adds itself to the corners whose window holds it, so the work
+    is points times corners per window, and the count is one aggregate.
+    """
+    low = lambda c, size: F.ceil((F.col(c) - size) / step).cast("long")
+    high = lambda c: F.floor(F.col(c) / step).cast("long")
+    corners = points.select(F.explode(F.sequence(low("x", width), high("x"))).alias("i"), low("y", height).alias("y0"), high("y").alias("y1")).select("i", F.explode(F.sequence("y0", "y1")).alias("j"))
+    counted = corners.groupBy("i", "j").agg(F.count("*").alias("n"))
+    best = counted.agg(F.min(F.struct((-F.col("n")).alias("m"), "i", "j")).alias("b"))
+    return best.select(F.round(F.col("b.i") * step, 6).alias("x"), F.round(F.col("b.j") * step, 6).alias("y"), (-F.col("b.m")).alias("n_points"))
+
+
+# ---- map layouts -------------------------------------------------------------
+
+
+@dataclass(frozen=True)
+class Problem:
+    """Target distances of one map: antigen, serum, target, and whether it is a less-than titre."""
+
+    antigen: np.ndarray
+    serum: np.ndarray
+    target: np.ndarray
+    less: np.ndarray
+    antigens: int
+    sera: int
+
+    def stress(self, layout: np.ndarray) -> tuple[float, np.ndarray]:
+        """Stress and its gradient; coincident points count as 1e-5 apart in the divisor."""
+        a, s = layout[self.antigen], layout[self.antigens + self.serum]
+        difference = a - s
+        d = np.sqrt((difference**2).sum(1))
+        away = d - self.target
+        x = self.target - d + 1
+        gate = 1 / (1 + np.exp(np.clip(-10 * x, -500, 500)))
+        value = np.where(self.less, x * x * gate, away * away)
+        slope = np.where(self.less, -(2 * x * gate + 10 * x * x * gate * (1 - gate)), 2 * away)
+        push = (slope / np.maximum(d, 1e-5))[:, None] * difference
+        gradient = np.zeros_like(layout)
+        np.add.at(gradient, self.antigen, push)
+        np.add.at(gradient, self.antigens + self.serum, -push)
+        return float(value.sum()), gradient
+
+
+def relax(problem: Problem, seed: int, dimensions: int = 2, rounds: int = 300) -> tuple[float, np.ndarray]:
+    """One seeded start: L-BFGS with backtracking from a random layout of the targets' size."""
+    rng = np.random.default_rng(seed)
+    size = max(1.0, float(problem.target.max(initial=1.0)))
+    layout = rng.uniform(-size, size, (problem.antigens + problem.sera, dimensions))
+    value, gradient = problem.stress(layout)
+    memory: list[tuple[np.ndarray, np.ndarray]] = []
+    for _ in range(rounds):
+        q, alphas = gradient.copy(), []
+        for s, y in reversed(memory):
+            alphas.append((s * q).sum() / (s * y).sum())
+            q -= alphas[-1] * y
+        if memory:
+            s, y = memory[-1]
+            q *= (s * y).sum() / (y * y).sum()
+        else:
+            q /= max(1.0, float(np.abs(gradient).max()))
+        for (s, y), a in zip(memory, reversed(alphas)):
+            q += s * (a - (y * q).sum() / (s * y).sum())
+        step, slope = 1.0, float((gradient * q).sum())
+        while True:
+            new_value, new_gradient = problem.stress(layout - step * q)
+            if new_value <= value - 1e-4 * step * slope or step < 1e-10:
+                break
+            step /= 2
+        s, y = -step * q, new_gradient - gradient
+        layout, better = layout + s, value - new_value
+        value, gradient = new_value, new_gradient
+        if (s * y).sum() > 1e-12:
+            memory = [*memory[-7:], (s, y)]
+        if better < 1e-9 * max(1.0, value):
+            break
+    return value, layout - layout.mean(axis=0)
+
+
+def map_relax(spark: SparkSession, problem: Problem, starts: int, keep: int, first: int = 0) -> DataFrame:
+    """The best `keep` of many independent starts: (place, start, stress, layout).
+
+    A start depends on its number alone, so any split over executors gives the
+    same layouts.  The problem is one map, a few thousand targets.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(int(k), *relax(problem, int(k))) for k in batch["id"]]
+            yield pd.DataFrame({"start": [f[0] for f in found], "stress": [f[1] for f in found], "layout": [f[2].ravel().tolist() for f in found]})
+
+    numbers = spark.range(first, first + starts, numPartitions=max(1, min(starts, 4 * spark.sparkContext.defaultParallelism)))
+    solved = numbers.mapInPandas(run, "start long, stress double, layout array<double>")
+    best = solved.orderBy(F.col("stress").asc_nulls_last(), "start").limit(keep)
+    return best
+
+
+def grid_test(problem: Problem, layout: np.ndarray, step: float) -> list[tuple[int, str, float]]:
+    """Each point's best place on a grid over its partners' box: normal, or trapped or hemisphering.
+
+    trapped: another place lowers the stress; hemisphering: a place farther
+    than the step is as good within a hundredth.
+    """
+    out = []
+    n = problem.antigens + problem.sera
+    for point in range(n):
+        is_antigen = point < problem.antigens
+        own = problem.antigen == point if is_antigen else problem.serum == point - problem.antigens
+        if not own.any():
+            out.append((point, "alone", 0.0))
+            continue
+        partners = layout[problem.antigens + problem.serum[own]] if is_antigen else layout[problem.antigen[own]]
+        target, less = problem.target[own], problem.less[own]
+        reach = float(target.max())
+        axes = [np.arange(partners[:, k].min() - reach, partners[:, k].max() + reach + step, step) for k in range(layout.shape[1])]
+        grid = np.stack(np.meshgrid(*axes, indexing="ij"), -1).reshape(-1, layout.shape[1])
+
+        def cost(places: np.ndarray) -> np.ndarray:
+            d = np.sqrt(((places[:, None] - partners[None]) ** 2).sum(-1))
+            x = target - d + 1
+            return np.where(less, x * x / (1 + np.exp(np.clip(-10 * x, -500, 500))), (d - target) ** 2).sum(1)
+
+        here = float(cost(layout[point : point + 1])[0])
+        costs = cost(grid)
+        best = int(np.argmin(costs))
+        far = np.sqrt(((grid - layout[point]) ** 2).sum(1)) > 4 * step
+        gain = here - float(costs[best])
+        if gain > 0.1 and far[best]:
+            out.append((point, "trapped", gain))
+        elif far.any() and here - float(costs[far].min()) > -0.01:
+            out.append((point, "hemisphering", gain))
+        else:
+            out.append((point, "normal", gain))
+    return out
+
+
+def distinct_basins(maps: list[tuple[float, np.ndarray]], keep: int, least: float) -> list[int]:
+    """Greedy from the best: a map stays if its RMSD after superposition to all kept ones is `least` or more."""
+    kept: list[int] = []
+    for k in sorted(range(len(maps)), key=lambda i: maps[i][0]):
+        if all(superposed(maps[k][1], maps[j][1]) >= least for j in kept):
+            kept.append(k)
+        if len(kept) == keep:
+            break
+    return kept
+
+
+def superposed(a: np.ndarray, b: np.ndarray) -> float:
+    """RMSD of two layouts after the best rotation, reflection and shift."""
+    a, b = a - a.mean(0), b - b.mean(0)
+    left = (a**2).sum() + (b**2).sum() - 2 * np.linalg.svd(a.T @ b, compute_uv=False).sum()
+    return float(np.sqrt(max(0.0, left) / len(a)))
