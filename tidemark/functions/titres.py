@@ -15,7 +15,7 @@ def kind(token: Column) -> Column:
     """num, lt, gt, dodgy, missing; NULL for a malformed token."""
     clean = F.trim(token)
     mark = F.regexp_extract(clean, TOKEN, 1)
-    valid = clean.rlike(TOKEN) & (F.regexp_extract(clean, TOKEN, 2).cast("long") > 0)
+    valid = F.coalesce(clean.rlike(TOKEN) & (F.regexp_extract(clean, TOKEN, 2).try_cast("long") > 0), F.lit(False))
     return (
         F.when(clean.isin("*", ""), MISSING)
         .when(~valid, F.lit(None))
@@ -29,7 +29,7 @@ def kind(token: Column) -> Column:
 def value(token: Column) -> Column:
     """The number of a well-formed token."""
     clean = F.trim(token)
-    return F.when(kind(token).isin(REGULAR, LESS, MORE, DODGY), F.regexp_extract(clean, TOKEN, 2).cast("long"))
+    return F.when(kind(token).isin(REGULAR, LESS, MORE, DODGY), F.regexp_extract(clean, TOKEN, 2).try_cast("long"))
 
 
 def log_titre(number: Column) -> Column:
