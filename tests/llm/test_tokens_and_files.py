@@ -64,6 +64,9 @@ def test_keyed_access(spark, odd, library):
     made = token_files.write(odd, common.work_dir(spark, "keyed"), vocabulary(BPE), shards=3)
     assert token_files.fetch(made, 8).tolist() == library("ONE TWO THREE FOUR FIVE SIX SEVEN EIGHT NINE TEN") + [0]
     assert token_files.fetch(made, 5, 1).tolist() == token_files.fetch(made, 5, 0).tolist()
+    keys = spark.createDataFrame([(8, 0), (3, 0), (77, 0)], "doc_id long, copy long")
+    got = {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in token_files.read(made, keys).collect()}
+    assert got == {8: token_files.fetch(made, 8).tolist(), 3: [0]}
     assert token_files.fetch(made, 5, 2) is None and token_files.fetch(made, 12345) is None
 
 
@@ -162,5 +165,8 @@ def test_arrays_and_heap_agree(monkeypatch, documents):
 
 
 def test_pieces_of_odd_rows(odd, empty):
+    path = vocabulary(PIECE)
+    texts = sorted((r["text"] or "" for r in odd.collect()))
+    assert sorted(r["text"] for r in pieces.decode(pieces.encode(odd, path), path).collect()) == texts
     assert all(r["lossless"] for r in pieces.round_trip(odd, vocabulary(PIECE)).collect())
     assert pieces.round_trip(empty, vocabulary(PIECE)).count() == 0

@@ -291,14 +291,30 @@ class Encoder:
         return raw.decode("utf-8", "surrogatepass").removeprefix(" ")
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+def encoder(path: str, seed: int, dropout: float) -> Encoder:
+    return common.resident(("dropout", path, seed, dropout), lambda: Encoder(path, seed, dropout))
 
 
-def encoder(path: str, seed: int, dropout: float) -> Encoder:
-    key = (path, seed, dropout)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = Encoder(path, seed, dropout)
-    return _ENCODERS[key]
+def encode(documents: DataFrame, path: str, *, seed: int = 7, dropout: float = 0.1) -> DataFrame:
+    """doc_id and the ids of every text."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        ids = [x.astype(np.int32) for x in encoder(path, seed, dropout).encode(docs, texts)]
+        return pa.record_batch([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+
+    return common.map_batches(documents.select("doc_id", "text"), run, "doc_id long, ids array<int>")
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """doc_id and the text of every list of ids; null ids have no text."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        coder = encoder(path, 0, 0.0)
+        texts = [None if ids is None else coder.decode(np.array(ids, dtype=np.int64)) for ids in batch.column(1).to_pylist()]
+        return pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])
+
+    return common.map_batches(encoded.select("doc_id", "ids"), run, "doc_id long, text string")
 
 
 def round_trip(documents: DataFrame, path: str, *, seed: int = 7, dropout: float = 0.1) -> DataFrame:

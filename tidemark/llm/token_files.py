@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -286,28 +286,36 @@ def lookup(made: Dataset, keys: DataFrame) -> DataFrame:
             columns += [pa.array(index.first[at].astype(np.int64)), pa.array(index.count[at].astype(np.int64))]
             yield pa.record_batch(columns, names=["doc_id", "copy", "shard", "first", "n_tokens"])
 
-    if not made.parts or not made.starts:
-        return keys.sparkSession.createDataFrame([], ENTRY)
     return _with_part(keys.select("doc_id", "copy"), made.parts).repartitionById(made.parts, "part").mapInArrow(find, ENTRY)
 
 
-def read(made: Dataset, keys: DataFrame) -> DataFrame:
-    """The stored ids of each key, by the index: doc_id, copy, start, n_tokens, ids (uint32 bytes)."""
-    schema = "doc_id long, copy long, start long, n_tokens long, ids_crc32 long"
+def _read(made: Dataset, keys: DataFrame, name: str, kind: pa.DataType, value: Callable[[bytes], object]) -> DataFrame:
+    """Each key's start, number of ids, and `value` of its ids (little-endian uint32), by the index."""
+    spark_kind = {pa.binary(): "binary", pa.int64(): "long"}[kind]
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, rows in _groups(batches, "shard"):
             payload = np.frombuffer(read_file(made.shard(shard)), dtype=made.dtype)
-            first, count = (rows.column(name).to_numpy() for name in ("first", "n_tokens"))
-            crc = [zlib.crc32(payload[a : a + n].astype("<u4").tobytes()) for a, n in zip(first.tolist(), count.tolist())]
-            columns = [rows.column("doc_id").combine_chunks(), rows.column("copy").combine_chunks()]
-            columns += [pa.array(first + made.starts[shard]), pa.array(count), pa.array(crc, pa.int64())]
-            arrays = [c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns]
-            yield pa.record_batch(arrays, names=["doc_id", "copy", "start", "n_tokens", "ids_crc32"])
+            for batch in common.sliced(rows.to_batches()):
+                first, count = (batch.column(column).to_numpy() for column in ("first", "n_tokens"))
+                values = [value(payload[a : a + n].astype("<u4").tobytes()) for a, n in zip(first.tolist(), count.tolist())]
+                columns = [batch.column("doc_id"), batch.column("copy"), pa.array(first + made.starts[shard]), pa.array(count), pa.array(values, kind)]
+                yield pa.record_batch(columns, names=["doc_id", "copy", "start", "n_tokens", name])
 
+    schema = f"doc_id long, copy long, start long, n_tokens long, {name} {spark_kind}"
     return lookup(made, keys).repartitionById(made.shards, "shard").mapInArrow(take, schema)
 
 
+def read(made: Dataset, keys: DataFrame) -> DataFrame:
+    """The stored ids of each key: doc_id, copy, start, n_tokens, ids (little-endian uint32)."""
+    return _read(made, keys, "ids", pa.binary(), bytes)
+
+
+def digests(made: Dataset, keys: DataFrame) -> DataFrame:
+    """As read(), with the unsigned crc32 of the ids in their place."""
+    return _read(made, keys, "ids_crc32", pa.int64(), zlib.crc32)
+
+
 def fetch(made: Dataset, doc_id: int | None, copy: int = 0) -> np.ndarray | None:
     """One document's ids, by one index part and one range read; None if absent."""
     key = key_hash(np.array([doc_id or 0]), np.array([copy]), np.array([doc_id is None]))
@@ -331,4 +339,4 @@ def keys_of(documents: DataFrame) -> DataFrame:
 def round_trip(spark: SparkSession, documents: DataFrame, tokenizer: str, *, end_id: int = 0) -> DataFrame:
     """Write all documents, then read each back through the index."""
     made = write(documents, common.work_dir(spark, "token-ids"), tokenizer, end_id=end_id)
-    return read(made, keys_of(documents)).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return digests(made, keys_of(documents)).select("doc_id", "start", "n_tokens", "ids_crc32")
