@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import re
 import tempfile
@@ -69,12 +72,42 @@ def partitions(df: DataFrame) -> int:
     return max(1, df.rdd.getNumPartitions())
 
 
+#: Rows that a worker turns into Python objects at once.
+SLICE_ROWS = 500
+
+_RESIDENT: dict = {}
+
+
+def resident(key, make: Callable):
+    """A worker's model or memory, kept between tasks; only the last one asked for stays."""
+    if key not in _RESIDENT:
+        release()
+        _RESIDENT[key] = make()
+    return _RESIDENT[key]
+
+
+def release() -> None:
+    """Give a worker's kept memory back to the machine; workers serve one operator after another."""
+    if _RESIDENT:
+        _RESIDENT.clear()
+        gc.collect()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """One Arrow batch in, one out; nothing is kept between batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := fn(batch)) is not None and out.num_rows:
+        for batch in sliced(batches):
+            if (out := fn(batch)) is not None and out.num_rows:
                 yield out
 
     return df.mapInArrow(run, schema)

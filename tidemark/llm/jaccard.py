@@ -35,7 +35,7 @@ from .components import LINKS, Forest, components
 from .storage import dump, dump_sorted, load, load_sorted, pack, read_file, slices, unpack, write_file
 
 #: Tokens in a batch; shingles in a chunk of a block: about.
-BATCH_TOKENS, CHUNK = 2_000_000, 500_000
+BATCH_TOKENS, CHUNK = 1_000_000, 500_000
 #: Texts in a leaf of a signature tree, children of its nodes.
 LEAF, FANOUT = 8, 4
 #: A row is numbered by its batch and its place in it.
@@ -83,6 +83,7 @@ def tokenise(documents: DataFrame, folder: str, size: int) -> DataFrame:
     tasks = common.partitions(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         task, turn, held = TaskContext.get().partitionId(), 0, 0
         docs: list[tuple] = []
         parts: list[np.ndarray] = []
@@ -113,7 +114,7 @@ def tokenise(documents: DataFrame, folder: str, size: int) -> DataFrame:
             docs, parts, number, held = [], [], {}, 0
             return pa.record_batch([rows, ids, texts, pa.array(count.astype(np.int64)), *keys], names=[c.split()[0] for c in DOCS.split(", ")])
 
-        for batch in batches:
+        for batch in common.sliced(batches):
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 raw = (text or "").encode("utf-8", "surrogatepass")
                 words = raw.translate(common.LOWER_BYTES).split()

@@ -127,6 +127,7 @@ def tokenise(documents: DataFrame, files: Files, folds: int, bits: int) -> DataF
     tasks = common.partitions(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         task, turn = TaskContext.get().partitionId(), 0
         docs: list[int | None] = []
         lengths: list[int] = []
@@ -156,7 +157,7 @@ def tokenise(documents: DataFrame, files: Files, folds: int, bits: int) -> DataF
             docs, lengths, parts, number, held = [], [], [], {}, 0
             return out
 
-        for rows in batches:
+        for rows in common.sliced(batches):
             for doc, text in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
                 words = common.lower_words(text) + [END]
                 for word in set(words).difference(number):

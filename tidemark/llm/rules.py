@@ -10,7 +10,6 @@ encoded data, one passage over and over, or text in a wrong encoding do not.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 from itertools import chain
 
@@ -25,7 +24,7 @@ SYMBOLS = "#*$%&|<>"
 #: Words in a window of which a repeat is counted.
 WINDOW = 8
 #: Documents are measured in groups of about so many characters.
-GROUP_CHARS = 1_500_000
+GROUP_CHARS = 1_000_000
 #: Distinct words whose pieces a worker remembers.
 REMEMBERED = 250_000
 
@@ -98,16 +97,11 @@ class Pieces:
         return [np.frombuffer(b"".join(map(get, words)), dtype=self.dtype) for words in texts]
 
 
-_PIECES: dict[str, Pieces] = {}
-
-
 def pieces(path: str) -> Pieces:
-    if path not in _PIECES:
-        _PIECES[path] = Pieces(path)
-    return _PIECES[path]
+    return common.resident(("pieces", path), lambda: Pieces(path))
 
 
-def script_of(text: str, sample: re.Pattern = re.compile(r"[^\W\d_]")) -> str:
+def script_of(text: str) -> str:
     """The script of most of a text's letters."""
     if text.isascii():
         return "latin"

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from . import common
+
 #: Unicode White_Space, which is what the library's pattern means by ``\s``.
 WHITE = frozenset(
     [chr(c) for c in (0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20, 0x85, 0xA0, 0x1680)]
@@ -20,15 +22,9 @@ WHITE = frozenset(
 #: A text is handled in groups of about this many characters.
 GROUP_CHARS = 2_000_000
 
-_ENCODERS: dict[tuple[str, int], "WordEncoder"] = {}
-
-
 def encoder(path: str, remembered: int = 500_000) -> "WordEncoder":
     """The encoder of a vocabulary file, one per worker process."""
-    key = (path, remembered)
-    if key not in _ENCODERS:
-        _ENCODERS[key] = WordEncoder(path, remembered)
-    return _ENCODERS[key]
+    return common.resident(("words", path, remembered), lambda: WordEncoder(path, remembered))
 
 
 class WordEncoder:
