@@ -8,6 +8,7 @@ features decides.  Only n-grams found in enough training texts take part.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,7 +30,7 @@ FEATURES = 8_000
 #: Standard deviations by which an n-gram's share of toxic texts must differ from theirs among all.
 LEAST_DEVIATIONS = 4.0
 #: A text group's characters, about.
-GROUP_CHARS = 1_000_000
+GROUP_CHARS = 500_000
 RIDGE = 3e-4
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
@@ -72,6 +73,18 @@ def features(texts: list[str], wanted: np.ndarray | None = None) -> tuple[np.nda
     return keys >> BITS, keys & ((1 << BITS) - 1)
 
 
+def groups(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """(number of the first, texts) of groups of about GROUP_CHARS characters."""
+    at = 0
+    while at < len(texts):
+        end, chars = at, 0
+        while end < len(texts) and (end == at or chars < GROUP_CHARS):
+            chars += len(texts[end] or "")
+            end += 1
+        yield at, [text or "" for text in texts[at:end]]
+        at = end
+
+
 @dataclass(frozen=True)
 class Model:
     codes: np.ndarray
@@ -89,21 +102,12 @@ def fit_model(sample: list[tuple[str, int]], share: float) -> Model:
     odds = float(np.log(prior / (1 - prior)))
     if not len(y) or y.min() == y.max():
         return Model(np.empty(0, dtype=np.int64), np.empty(0), odds)
-    rows, cols = [], []
-    at = 0
-    while at < len(sample):
-        end, chars = at, 0
-        while end < len(sample) and (end == at or chars < GROUP_CHARS):
-            chars += len(sample[end][0])
-            end += 1
-        row, col = features([text for text, _ in sample[at:end]])
-        rows.append((row + at).astype(np.int32))
-        cols.append(col.astype(np.int32))
-        at = end
-    row, col = np.concatenate(rows), np.concatenate(cols)
     size = 1 << BITS
-    positive = np.bincount(col[y[row] > 0], minlength=size)
-    texts = np.bincount(col, minlength=size)
+    texts, positive = (np.zeros(size, dtype=np.int64) for _ in range(2))
+    for first, group in groups([text for text, _ in sample]):
+        row, col = features(group)
+        texts += np.bincount(col, minlength=size)
+        positive += np.bincount(col[y[first + row] > 0], minlength=size)
     p, q = 1.0 + positive, 1.0 + texts - positive
     ratio = np.log((p / p.sum()) / (q / q.sum()))
     half = y.mean()
@@ -113,8 +117,9 @@ def fit_model(sample: list[tuple[str, int]], share: float) -> Model:
     chosen = chosen[worth[chosen] >= LEAST_DEVIATIONS]
     number = np.full(size, -1, dtype=np.int64)
     number[chosen] = np.arange(len(chosen))
-    keep = number[col] >= 0
-    row, col = row[keep], number[col[keep]]
+    # a second pass over the texts keeps the chosen n-grams alone, so memory follows those
+    kept = [(first + row, number[col]) for first, group in groups([text for text, _ in sample]) for row, col in [features(group, number >= 0)]]
+    row, col = np.concatenate([r for r, _ in kept]), np.concatenate([c for _, c in kept])
     scale = ratio[chosen]
 
     def loss(x: np.ndarray) -> tuple[float, np.ndarray]:
@@ -140,16 +145,10 @@ class Scorer:
 
     def __call__(self, texts: list[str | None]) -> np.ndarray:
         out = np.empty(len(texts))
-        at = 0
-        while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (end == at or chars < GROUP_CHARS):
-                chars += len(texts[end] or "")
-                end += 1
-            row, code = features([text or "" for text in texts[at:end]], self.wanted)
-            z = np.bincount(row, weights=self.table[code], minlength=end - at) + self.bias
-            out[at:end] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            at = end
+        for first, group in groups(texts):
+            row, code = features(group, self.wanted)
+            z = np.bincount(row, weights=self.table[code], minlength=len(group)) + self.bias
+            out[first : first + len(group)] = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
         return out
 
 
@@ -168,12 +167,12 @@ def score(documents: DataFrame, model: Model, *, folds: int = 5, left_out: int =
     """
 
     def run(batches):
+        common.release()
         scorer = Scorer(model)
-        for batch in batches:
-            if batch.num_rows:
-                found = scorer(batch.column(1).to_pylist())
-                columns = [batch.column(0), batch.column(2), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
-                yield pa.record_batch(columns, names=["doc_id", "held_out", "score", "predicted"])
+        for batch in common.sliced(batches):
+            found = scorer(batch.column(1).to_pylist())
+            columns = [batch.column(0), batch.column(2), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
+            yield pa.record_batch(columns, names=["doc_id", "held_out", "score", "predicted"])
 
     keyed = documents.select("doc_id", "text", (common.fold(F.col("doc_id"), folds) == left_out).alias("held_out"))
     return keyed.mapInArrow(run, SCHEMA)
@@ -184,9 +183,9 @@ def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.5) -> Da
     at = documents.columns.index("text")
 
     def run(batches):
+        common.release()
         scorer = Scorer(model)
-        for batch in batches:
-            if batch.num_rows:
-                yield batch.filter(pa.array(scorer(batch.column(at).to_pylist()) < threshold))
+        for batch in common.sliced(batches):
+            yield batch.filter(pa.array(scorer(batch.column(at).to_pylist()) < threshold))
 
     return documents.mapInArrow(run, documents.schema)
