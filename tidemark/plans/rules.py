@@ -20,12 +20,12 @@ RULES = "rules(rule_line, rule_status, rule_segment, rule_pattern, rule_value) A
 
 ROWS = """
 lines AS (
-  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, o_orderstatus AS status, c_mktsegment AS segment, p_name AS text
+  SELECT row_number() OVER () AS row_id, o_orderstatus AS status, c_mktsegment AS segment, p_name AS text
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey),
 hits AS (
-  SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, l.l_linenumber, min(r.rule_line) AS rule_line FROM lines l LEFT JOIN rules r
+  SELECT l.row_id, min(r.rule_line) AS rule_line FROM lines l LEFT JOIN rules r
     ON (r.rule_status = '*' OR lower(r.rule_status) = lower(status)) AND (r.rule_segment = '*' OR lower(r.rule_segment) = lower(segment))
-    AND regexp_full_match(text, r.rule_pattern, 'i') GROUP BY 1, 2, 3, 4)"""
+    AND regexp_full_match(text, r.rule_pattern, 'i') GROUP BY 1)"""
 
 
 def _matched(spark, sf_dir):
