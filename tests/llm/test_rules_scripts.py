@@ -51,3 +51,13 @@ def test_text_in_a_wrong_encoding_is_rejected():
         if len(texts[0]) < 500:
             pytest.skip("no catalogues")
         assert not any(r[7] for r in rules.measure([0], texts, MODEL, rules.BANDS))
+
+
+def test_long_varied_texts_are_kept():
+    coder = rules.pieces(MODEL)
+    names = [coder.library.id_to_piece(i).strip("▁") for i in range(1000, coder.size)]
+    names = [w for w in dict.fromkeys(names) if w.isascii() and w.isalpha() and len(w) > 3]
+    lengths = (200, 400, 600, 1500, 3000)
+    rows = rules.measure([0] * 5, [" ".join(names[:n]) for n in lengths], MODEL, rules.BANDS)
+    assert all(r[7] and r[11] <= 1.0 for r in rows), [(r[0], r[11]) for r in rows]
+    assert [len(coder.encode([names[:n]])[0]) > 1000 for n in (200, 3000)] == [False, True]

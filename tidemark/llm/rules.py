@@ -183,6 +183,7 @@ def entropy_shares(tokens: list[np.ndarray]) -> np.ndarray:
 
     The most is log2 of the number of tokens, or of 1,000 for longer texts:
     a language's entropy stops growing, and long prose must not look poor.
+    No share is above 1, however long and varied a text is.
     """
     lengths = np.array([len(t) for t in tokens], dtype=np.int64)
     out = np.ones(len(tokens))
@@ -197,7 +198,7 @@ def entropy_shares(tokens: list[np.ndarray]) -> np.ndarray:
     summed = np.bincount(owner, weights=part, minlength=len(tokens))
     some = lengths > 1
     n = lengths[some].astype(float)
-    out[some] = (np.log2(n) - summed[some] / n) / np.log2(np.minimum(n, 1000))
+    out[some] = np.minimum((np.log2(n) - summed[some] / n) / np.log2(np.minimum(n, 1000)), 1.0)
     return out
 
 
