@@ -1,10 +1,10 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and its decoding.
 
 A word's agenda holds its candidate merges, best score first, then leftmost.
-A keyed hash of (seed, variant, word, place, merged piece) decides whether a
-candidate is skipped, so one seed always gives one segmentation, and different
-occurrences of a word get different ones: an occurrence's variant is a keyed
-hash of its document and place.  Without dropout the ids are those of the
+A keyed hash of (seed, document, place, place in the word, merged piece)
+decides whether a candidate is skipped, so one seed always gives one
+segmentation, and each occurrence of a word draws its own.  The skipped
+candidates decide a word's pieces, so these are remembered by both.  Without dropout the ids are those of the
 sentencepiece library.  Every piece sequence decodes to the text it came from.
 
 The agendas of many short words run side by side in arrays; a long word runs
@@ -18,18 +18,17 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 
 from . import common
 
 SPACE = "▁"
-#: Segmentations that a word may have under one seed.
-VARIANTS = 4
 #: Longer words go through the heap.
 SHORT = 48
-#: Words side by side in arrays; remembered words per variant; characters of a text group.
-TOGETHER, REMEMBERED, GROUP_CHARS = 4096, 100_000, 1_500_000
+#: Words side by side in arrays; remembered words and their segmentations; characters of a text group.
+TOGETHER, REMEMBERED, GROUP_CHARS = 4096, 300_000, 1_500_000
+#: Occurrences whose candidates are judged at once; a word with more candidates, or less often in a group, is not remembered.
+JUDGED, MOST_CANDIDATES, OFTEN = 16_384, 63, 6
 SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, n_chars long, lossless boolean"
 
 
@@ -90,14 +89,18 @@ class Vocabulary:
 
 
 def skipped(word: np.ndarray, begin: np.ndarray, end: np.ndarray, piece: np.ndarray, dropout: float) -> np.ndarray:
-    """The keyed hash's verdict on candidate merges; `word` holds the key of seed, variant and word."""
-    with np.errstate(over="ignore"):
-        h = common.mixed(word ^ (begin.astype(np.uint64) << np.uint64(42)) ^ (end.astype(np.uint64) << np.uint64(21)) ^ piece.astype(np.uint64), 9)
-    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
+    """The keyed hash's verdict on candidate merges; `word` holds the key of seed, document and place."""
+    return verdicts(word, coded(begin, end, piece), dropout)
+
 
+def coded(begin: np.ndarray, end: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    return (begin.astype(np.uint64) << np.uint64(42)) ^ (end.astype(np.uint64) << np.uint64(21)) ^ piece.astype(np.uint64)
 
-def word_key(word: str, seed: int, variant: int) -> int:
-    return xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), seed=(seed * 1_000_003 + variant) % 2**64)
+
+def verdicts(word: np.ndarray, candidate: np.ndarray, dropout: float) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = common.mixed(word ^ candidate, 9)
+    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
 
 
 def by_heap(vocabulary: Vocabulary, word: str, key: int, dropout: float) -> list[int]:
@@ -197,12 +200,14 @@ def by_arrays(vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropou
 
 
 class Encoder:
-    """Encodes texts; remembers words by variant."""
+    """Encodes texts; remembers words by what was skipped."""
 
-    def __init__(self, path: str, seed: int = 0, dropout: float = 0.0, variants: int = VARIANTS):
+    def __init__(self, path: str, seed: int = 0, dropout: float = 0.0):
         self.vocabulary, self.seed, self.dropout = Vocabulary(path), seed, dropout
-        self.variants = variants if dropout else 1
-        self.known: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.longest = max(map(len, self.vocabulary.ids), default=0)
+        self.candidates: dict[str, np.ndarray | None] = {}
+        self.known: dict[str, dict[int, bytes]] = {}
+        self.remembered = 0
 
     def units(self, text: str) -> list[str]:
         """A text as the strings between which no merge can happen."""
@@ -235,54 +240,100 @@ class Encoder:
     def encode(self, doc_ids: list[int | None], texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for a null or empty text."""
         cut = [self.units(text) if text else [] for text in texts]
-        if self.variants == 1:
-            if len(self.known[0]) > REMEMBERED:
-                self.known[0].clear()
-            self._fill(0, set().union(*cut))
-            get = self.known[0].__getitem__
-            return [np.frombuffer(b"".join(map(get, words)), dtype=self.vocabulary.dtype) for words in cut]
-        chosen = []
-        for doc, words in zip(doc_ids, cut):
-            base = np.uint64(((doc or 0) * 0x9E3779B97F4A7C15 + self.seed) % 2**64)
-            with np.errstate(over="ignore"):
-                chosen.append((common.mixed(np.arange(len(words), dtype=np.uint64) + base, 4) % np.uint64(self.variants)).tolist())
-        wanted: list[set[str]] = [set() for _ in range(self.variants)]
-        for words, picks in zip(cut, chosen):
-            for word, pick in zip(words, picks):
-                if word not in self.known[pick]:
-                    wanted[pick].add(word)
-        for variant, words in enumerate(wanted):
-            known = self.known[variant]
-            if len(known) + len(words) > REMEMBERED and known:
-                kept = {w for ws, ps in zip(cut, chosen) for w, p in zip(ws, ps) if p == variant}
-                self.known[variant] = {w: known[w] for w in kept if w in known}
-            self._fill(variant, words)
-        known, out = self.known, []
-        for words, picks in zip(cut, chosen):
-            raw = b"".join([known[pick][word] for word, pick in zip(words, picks)])
-            out.append(np.frombuffer(raw, dtype=self.vocabulary.dtype))
+        flat = [word for words in cut for word in words]
+        local: dict[str, int] = {}
+        ids = np.fromiter((local.setdefault(word, len(local)) for word in flat), dtype=np.int64, count=len(flat))
+        if self.remembered > REMEMBERED:
+            self.known.clear()
+            self.candidates.clear()
+            self.remembered = 0
+        keys = self._keys(doc_ids, cut) if self.dropout else np.zeros(len(flat), dtype=np.uint64)
+        masks, tables = self._skips(list(local), ids, keys) if self.dropout else ([0] * len(flat), [self.known.setdefault(w, {}) for w in local])
+        picks = ids.tolist()
+        missing: dict[tuple[int, int], int] = {}
+        for k, (word, mask) in enumerate(zip(picks, masks)):
+            if mask not in tables[word]:
+                missing.setdefault((word, mask), k)
+        self._fill(flat, keys, missing, tables)
+        raw = [tables[word][mask] for word, mask in zip(picks, masks)]
+        out, at = [], 0
+        for words in cut:
+            out.append(np.frombuffer(b"".join(raw[at : at + len(words)]), dtype=self.vocabulary.dtype))
+            at += len(words)
         return out
 
-    def _fill(self, variant: int, words: set[str]) -> None:
-        known = self.known[variant]
-        new = [w for w in words if w not in known]
-        short = sorted((w for w in new if len(w) <= SHORT and "\0" not in w), key=len)
+    def _keys(self, doc_ids: list[int | None], cut: list[list[str]]) -> np.ndarray:
+        """The key of each occurrence: its document and place under the seed."""
+        out = [np.zeros(0, dtype=np.uint64)]
+        for doc, words in zip(doc_ids, cut):
+            base = np.array([((doc or 0) * 0x9E3779B97F4A7C15 + self.seed * 0xD6E8FEB86659FD93) % 2**64], dtype=np.uint64)
+            with np.errstate(over="ignore"):
+                out.append(common.mixed(np.arange(len(words), dtype=np.uint64) + common.mixed(base, 5), 4))
+        return np.concatenate(out)
+
+    def _may_merge(self, word: str) -> np.ndarray | None:
+        """Every candidate that a word's agenda can ever hold; None if they are too many to remember by."""
+        if len(word) > SHORT or "\0" in word:
+            return None
+        get, n = self.vocabulary.ids.get, len(word)
+        found = [(a, b, get(word[a:b])) for a in range(n - 1) for b in range(a + 2, min(n, a + self.longest) + 1) if word[a:b] in self.vocabulary.ids]
+        if len(found) > MOST_CANDIDATES:
+            return None
+        return coded(*np.array(found, dtype=np.int64).reshape(-1, 3).T)
+
+    def _skips(self, words: list[str], ids: np.ndarray, keys: np.ndarray) -> tuple[list[int], list[dict[int, bytes]]]:
+        """Which candidates each occurrence skips, as bits, and each word's segmentations by these.
+
+        A word with too many candidates, or new and rare, has its occurrences'
+        keys in place of the bits and a table that is not kept.
+        """
+        tables, parts = [], []
+        for word, often in zip(words, (np.bincount(ids, minlength=len(words)) >= OFTEN).tolist()):
+            if often and word not in self.candidates:
+                self.candidates[word] = self._may_merge(word)
+                self.remembered += 1
+            parts.append(self.candidates.get(word))
+            tables.append({} if parts[-1] is None else self.known.setdefault(word, {}))
+        direct = np.array([p is None for p in parts], dtype=bool)
+        some = [np.zeros(0, dtype=np.uint64) if p is None else p for p in parts]
+        sizes = np.array([len(p) for p in some], dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        candidates = np.concatenate(some) if some else np.zeros(0, dtype=np.uint64)
+        masks = np.zeros(len(ids), dtype=np.uint64)
+        for at in range(0, len(ids), JUDGED):
+            part = ids[at : at + JUDGED]
+            owner = np.repeat(np.arange(len(part)), sizes[part])
+            bit = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[part]) - sizes[part], sizes[part])
+            skip = np.flatnonzero(verdicts(keys[at : at + JUDGED][owner], candidates[starts[part][owner] + bit], self.dropout))
+            np.bitwise_or.at(masks, at + owner[skip], np.uint64(1) << bit[skip].astype(np.uint64))
+        if len(ids):
+            masks = np.where(direct[ids], keys, masks)
+        return masks.tolist(), tables
+
+    def _fill(self, flat: list[str], keys: np.ndarray, missing: dict[tuple[int, int], int], tables: list[dict[int, bytes]]) -> None:
+        """The segmentations that are not yet known, each from one occurrence that has it."""
+        short, long = [], []
+        for pair, k in missing.items():
+            (short if len(flat[k]) <= SHORT and "\0" not in flat[k] else long).append((pair, k))
+        short.sort(key=lambda x: len(flat[x[1]]))
         for at in range(0, len(short), TOGETHER):
             part = short[at : at + TOGETHER]
-            keys = np.array([word_key(w, self.seed, variant) for w in part] if self.dropout else [0] * len(part), dtype=np.uint64)
-            known.update(zip(part, by_arrays(self.vocabulary, part, keys, self.dropout)))
-        for word in new:
-            if word not in known:
-                known[word] = self._long(word, variant)
-
-    def _long(self, word: str, variant: int) -> bytes:
+            made = by_arrays(self.vocabulary, [flat[k] for _, k in part], keys[[k for _, k in part]], self.dropout)
+            for ((word, mask), k), raw in zip(part, made):
+                tables[word][mask] = raw
+                self.remembered += flat[k] in self.known
+        for (word, mask), k in long:
+            tables[word][mask] = self._long(flat[k], int(keys[k]))
+            self.remembered += flat[k] in self.known
+
+    def _long(self, word: str, key: int) -> bytes:
         """A long word, or one with a literal space mark, which is written as bytes."""
         out: list[int] = []
         for k, piece in enumerate(word.split("\0")):
             if k:
                 out += [self.vocabulary.byte_ids[b] for b in SPACE.encode()]
             if piece:
-                out += by_heap(self.vocabulary, piece, word_key(piece, self.seed, variant), self.dropout)
+                out += by_heap(self.vocabulary, piece, (key + k) % 2**64, self.dropout)
         return np.array(out, dtype=self.vocabulary.dtype).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
