@@ -11,19 +11,84 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def theil_sen(points: DataFrame, by: str, x: str, y: str, key: str, most: int = 600) -> DataFrame:
+#: Groups of up to so many rows compare all pairs at once.
+PAIRED = 1_500
+
+
+def inversions(values: np.ndarray) -> int:
+    """Pairs i < j with values[i] > values[j], by merging blocks of doubling width."""
+    n = len(values)
+    order = np.argsort(values, kind="stable")
+    rank = np.empty(n, dtype=np.int64)
+    rank[order] = np.arange(n)  # equal values rank by place, so they are no inversions
+    total, width, at = 0, 1, np.arange(n)
+    while width < n:
+        block = at // (2 * width)
+        merged = np.argsort(block * n + rank, kind="stable")
+        left = (at[merged] // width) % 2 == 0
+        # each row of a right half jumps over the rows of its left half that rank after it
+        lefts = np.cumsum(left)
+        before = lefts - np.where(block > 0, lefts[np.maximum(block * 2 * width - 1, 0)], 0)
+        total += int((width - before)[~left].sum())
+        rank, width = rank[merged], 2 * width
+    return total
+
+
+def median_slope(x: np.ndarray, y: np.ndarray) -> float | None:
+    """The exact median slope over all pairs with different x; the mean of the middle two of an even number.
+
+    More than PAIRED rows find each middle slope by halving an interval: the
+    pairs with a slope below s are the inversions of y - s x in the order of x.
+    """
+    order = np.lexsort((y, x))
+    x, y = x[order], y[order]
+    same = np.unique(x, return_counts=True)[1]
+    n = len(x)
+    pairs = n * (n - 1) // 2 - int((same * (same - 1) // 2).sum())
+    if not pairs:
+        return None
+    if n <= PAIRED:
+        i, j = np.triu_indices(n, 1)
+        apart = x[i] != x[j]
+        i, j = i[apart], j[apart]
+        return float(np.median((y[j] - y[i]) / (x[j] - x[i])))
+    x, y = x - x[n // 2], y - y[n // 2]
+
+    def below(slope: float) -> int:
+        rest = y - slope * x
+        return inversions(rest[np.lexsort((rest, x))])
+
+    most = float(y.max() - y.min()) / float(np.diff(np.unique(x)).min())  # no slope is steeper
+
+    def ranked(k: int) -> float:
+        low, high = -most, most  # at most k slopes are below low, and more are below or at high
+        while True:
+            middle = low + (high - low) / 2
+            if not low < middle < high or high - low <= 1e-15 * max(abs(low), abs(high)):
+                return middle
+            if below(middle) <= k:
+                low = middle
+            else:
+                high = middle
+
+    lower = ranked((pairs - 1) // 2)
+    return lower if pairs % 2 else (lower + ranked(pairs // 2)) / 2
+
+
+def theil_sen(points: DataFrame, by: str, x: str, y: str, key: str) -> DataFrame:
     """Median pairwise slope, median intercept and robust scale of each group.
 
-    Pairs are quadratic in a group, so a larger group is represented by its
-    `most` rows of smallest hashed key, a sample that every run repeats.
+    The slope is exact over all pairs of a group's rows; `key` is unique in a
+    group.  One task holds x and y of one group.  Rows without x, y or key have no pairs.
     """
-    from pyspark.sql import Window
+    used = points.select(by, F.col(key).alias("__k"), F.col(x).cast("double").alias("__x"), F.col(y).cast("double").alias("__y")).dropna(subset=["__k", "__x", "__y"])
+
+    def slope(group: pd.DataFrame) -> pd.DataFrame:
+        found = median_slope(group["__x"].to_numpy(), group["__y"].to_numpy())
+        return pd.DataFrame({by: group[by].iloc[:1], "slope": [found]}).dropna(subset=["slope"])
 
-    order = Window.partitionBy(by).orderBy(F.crc32(F.col(key).cast("string")), key)
-    used = points.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= most).select(by, key, x, y)
-    other = used.select(by, F.col(key).alias("__k"), F.col(x).alias("__x"), F.col(y).alias("__y"))
-    pairs = used.join(other, by).where((F.col(key) < F.col("__k")) & (F.col(x) != F.col("__x")))
-    slopes = pairs.groupBy(by).agg(F.percentile((F.col("__y") - F.col(y)) / (F.col("__x") - F.col(x)), F.lit(0.5)).alias("slope"))
+    kind = points.schema[by].dataType.simpleString()
+    slopes = used.groupBy(by).applyInPandas(slope, f"`{by}` {kind}, slope double").where(F.col(by).isNotNull())
     offsets = points.join(slopes, by).groupBy(by).agg(F.first("slope").alias("slope"), F.percentile(F.col(y) - F.col("slope") * F.col(x), F.lit(0.5)).alias("intercept"))
     residual = F.col(y) - F.col("slope") * F.col(x) - F.col("intercept")
     scales = points.join(offsets, by).groupBy(by).agg(F.percentile(F.abs(residual), F.lit(0.5)).alias("mad"))

@@ -29,7 +29,7 @@ def _clock(spark, sf_dir):
 
 
 def _fits(spark, sf_dir):
-    return numerics.theil_sen(_clock(spark, sf_dir), "grp", "x", "y", "id", most=1_000)
+    return numerics.theil_sen(_clock(spark, sf_dir), "grp", "x", "y", "id")
 
 
 @query(f"WITH {CLOCK} SELECT grp, round(slope, 9) AS slope, round(intercept, 9) AS intercept, round(scale, 9) AS scale FROM fits")
