@@ -3,6 +3,8 @@
 from collections import Counter
 
 import numpy as np
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tidemark.llm import pieces
 from tidemark.llm.queries import vocabulary
@@ -24,6 +26,13 @@ def test_a_frequent_word_has_many_segmentations():
 def test_remembered_segmentations_are_those_of_each_occurrence(monkeypatch):
     texts = ["the international nations of the world and the national word " * 30] * 5
     known = pieces.Encoder(PIECE, 3, 0.2).encode(list(range(5)), texts)
-    monkeypatch.setattr(pieces, "MOST_CANDIDATES", -1)
+    monkeypatch.setattr(pieces, "OFTEN", 10**9)  # no word is remembered
     fresh = pieces.Encoder(PIECE, 3, 0.2).encode(list(range(5)), texts)
     assert all(a.tolist() == b.tolist() for a, b in zip(known, fresh))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(st.sampled_from("ab \n\x00\x01\ue000▁\ud800é\u2028"), max_size=30) | st.text(max_size=40), st.integers(0, 5))
+def test_every_character_survives(text, doc):
+    coder = pieces.encoder(PIECE, 7, 0.3)
+    assert coder.decode(coder.encode([doc], [text])[0]) == text

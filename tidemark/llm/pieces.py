@@ -1,14 +1,16 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and its decoding.
 
 A word's agenda holds its candidate merges, best score first, then leftmost.
-A keyed hash of (seed, document, place, place in the word, merged piece)
-decides whether a candidate is skipped, so one seed always gives one
-segmentation, and each occurrence of a word draws its own.  The skipped
-candidates decide a word's pieces, so these are remembered by both.  Without dropout the ids are those of the
-sentencepiece library.  Every piece sequence decodes to the text it came from.
+When a candidate's turn comes, a keyed hash of (seed, document, place, place in
+the word, merged piece) decides whether it is skipped, so one seed always gives
+one segmentation, and each occurrence of a word draws its own.  Without dropout
+the ids are those of the sentencepiece library.  Every sequence of pieces
+decodes to the text it came from, whatever characters that holds.
 
 The agendas of many short words run side by side in arrays; a long word runs
-through a heap.  Both give the same pieces.
+through a heap.  Both give the same pieces.  The verdicts that occurrences of a
+frequent word met are kept as a decision tree, so an occurrence that meets the
+same ones finds its pieces by walking down that tree.
 """
 
 from __future__ import annotations
@@ -23,12 +25,15 @@ from pyspark.sql import DataFrame
 from . import common
 
 SPACE = "▁"
+#: A unit that is a space mark of the text itself; it is written as bytes.
+LITERAL = " "
 #: Longer words go through the heap.
 SHORT = 48
-#: Words side by side in arrays; remembered words and their segmentations; characters of a text group.
-TOGETHER, REMEMBERED, GROUP_CHARS = 4096, 300_000, 1_500_000
-#: Occurrences whose candidates are judged at once; a word with more candidates, or less often in a group, is not remembered.
-JUDGED, MOST_CANDIDATES, OFTEN = 16_384, 63, 6
+#: Words side by side in arrays; nodes of decision trees that a worker keeps; characters of a text group.
+TOGETHER, REMEMBERED, GROUP_CHARS = 4096, 1_500_000, 1_500_000
+#: A word that is so often in a text group gets a decision tree.
+OFTEN = 2
+GONE = np.iinfo(np.int32).min
 SCHEMA = "doc_id long, n_tokens long, ids_crc32 long, n_chars long, lossless boolean"
 
 
@@ -44,7 +49,7 @@ class Vocabulary:
         self.texts: list[bytes] = [b""] * self.size
         self.byte_ids = [0] * 256
         self.ids: dict[str, int] = {}
-        scores = np.zeros(self.size)
+        scores = np.zeros(self.size, dtype=np.float32)
         for i in range(self.size):
             piece = library.id_to_piece(i)
             if library.is_byte(i):
@@ -62,8 +67,7 @@ class Vocabulary:
                 if a is not None and b is not None:
                     merges[a * self.size + b] = i
         self.merges = merges
-        self.keys = np.array(sorted(merges), dtype=np.int64)
-        self.merged = np.array([merges[k] for k in self.keys.tolist()], dtype=np.int64)
+        self._index(np.array(list(merges), dtype=np.int64), np.array(list(merges.values()), dtype=np.int32))
         #: Texts may be cut before spaces and around line ends if no piece spans such a place.
         self.cuts = all(SPACE not in piece.lstrip(SPACE) for piece in self.ids)
         self.cuts_lines = not any("\n" in piece for piece in self.ids)
@@ -81,185 +85,281 @@ class Vocabulary:
                 out += [self.byte_ids[b] for b in chr(-1 - s).encode("utf-8", "surrogatepass")]
         return out
 
+    def _index(self, keys: np.ndarray, pieces: np.ndarray) -> None:
+        """A hash table of the mergeable pairs with linear probing, filled a probe at a time."""
+        self.bits = max(4, int(16 * max(1, len(keys)) - 1).bit_length())
+        self.table, self.found = np.full(1 << self.bits, -1, dtype=np.int64), np.full(1 << self.bits, -1, dtype=np.int32)
+        slot = self._slot(keys)
+        while len(keys):
+            free = self.table[slot] < 0
+            _, first = np.unique(np.where(free, slot, -1 - np.arange(len(slot))), return_index=True)
+            first = first[free[first]]
+            self.table[slot[first]], self.found[slot[first]] = keys[first], pieces[first]
+            left = np.ones(len(keys), dtype=bool)
+            left[first] = False
+            keys, pieces, slot = keys[left], pieces[left], (slot[left] + 1) & (len(self.table) - 1)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
     def lookup(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The piece that each pair merges to, or -1."""
-        key = np.where((a >= 0) & (b >= 0), a * self.size + b, -1)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.merged[at], -1)
+        keys = a.astype(np.int64) * self.size + b
+        slot = self._slot(keys)
+        at = self.table[slot]
+        out = np.where((at == keys) & (a >= 0) & (b >= 0), self.found[slot], np.int32(-1))
+        more = np.flatnonzero((at >= 0) & (at != keys) & (a >= 0) & (b >= 0))
+        while len(more):
+            slot[more] = (slot[more] + 1) & (len(self.table) - 1)
+            at = self.table[slot[more]]
+            hit = at == keys[more]
+            out[more[hit]] = self.found[slot[more[hit]]]
+            more = more[(at >= 0) & ~hit]
+        return out
 
 
-def skipped(word: np.ndarray, begin: np.ndarray, end: np.ndarray, piece: np.ndarray, dropout: float) -> np.ndarray:
-    """The keyed hash's verdict on candidate merges; `word` holds the key of seed, document and place."""
-    return verdicts(word, coded(begin, end, piece), dropout)
+MASK = 2**64 - 1
 
 
-def coded(begin: np.ndarray, end: np.ndarray, piece: np.ndarray) -> np.ndarray:
-    return (begin.astype(np.uint64) << np.uint64(42)) ^ (end.astype(np.uint64) << np.uint64(21)) ^ piece.astype(np.uint64)
+def coded(begin, end, piece):
+    """A candidate merge as one number: where its piece begins and ends in the word, and the piece."""
+    return begin << 42 ^ end << 21 ^ piece
 
 
-def verdicts(word: np.ndarray, candidate: np.ndarray, dropout: float) -> np.ndarray:
+def verdicts(word: np.ndarray, candidate: np.ndarray, limit: int) -> np.ndarray:
+    """The keyed hash's verdict on candidates: whether each is skipped; `word` holds the key of seed, document and place."""
     with np.errstate(over="ignore"):
-        h = common.mixed(word ^ candidate, 9)
-    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
+        return common.mixed(word ^ candidate.astype(np.uint64), 9) < np.uint64(limit)
+
+
+def verdict(word: int, candidate: int, limit: int) -> bool:
+    """verdicts() of one candidate."""
+    x = ((word ^ candidate) + 0x9E3779B97F4A7C15 * 10) & MASK
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return x ^ x >> 31 < limit
 
 
-def by_heap(vocabulary: Vocabulary, word: str, key: int, dropout: float) -> list[int]:
+def by_heap(vocabulary: Vocabulary, word: str, key: int, limit: int) -> list[int]:
     """A word's pieces through an agenda in a heap."""
     symbols = [vocabulary.symbol(c) for c in word]
     n = len(symbols)
-    begin, end = list(range(n)), list(range(1, n + 1))
-    before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+    end = list(range(1, n + 1))  # of the symbol that begins here; that is also where the next one begins
+    before = list(range(-1, n))
     agenda: list[tuple] = []
 
     def offer(i: int) -> None:
-        j = after[i]
+        j = end[i]
         if j >= n or symbols[i] < 0 or symbols[j] < 0:
             return
         piece = vocabulary.merges.get(symbols[i] * vocabulary.size + symbols[j])
-        if piece is None:
-            return
-        if dropout and skipped(np.array([key], np.uint64), np.array([begin[i]]), np.array([end[j]]), np.array([piece]), dropout)[0]:
-            return
-        heapq.heappush(agenda, (-vocabulary.scores[piece], begin[i], end[j], piece, i, j))
+        if piece is not None:
+            heapq.heappush(agenda, (-vocabulary.scores[piece], i, end[j], piece, j))
 
     for i in range(n - 1):
         offer(i)
     alive = [True] * n
     while agenda:
-        _, a, b, piece, i, j = heapq.heappop(agenda)
-        if not (alive[i] and j < n and alive[j] and after[i] == j and begin[i] == a and end[j] == b):
+        _, i, stop, piece, j = heapq.heappop(agenda)
+        if not (alive[i] and alive[j] and end[i] == j and end[j] == stop):
             continue
-        symbols[i], end[i], after[i], alive[j] = piece, end[j], after[j], False
-        if after[j] < n:
-            before[after[j]] = i
+        if limit and verdict(key, coded(i, stop, piece), limit):
+            continue
+        symbols[i], end[i], alive[j] = piece, stop, False
+        before[stop] = i
         offer(i)
         if before[i] >= 0:
             offer(before[i])
     return vocabulary.output([s for s, live in zip(symbols, alive) if live])
 
 
-def by_arrays(vocabulary: Vocabulary, words: list[str], keys: np.ndarray, dropout: float) -> list[bytes]:
-    """The pieces of words of like length, an agenda step of every word at a time."""
+def by_arrays(vocabulary: Vocabulary, words: list[str], keys: np.ndarray, limit: int) -> tuple[list[bytes], list[tuple]]:
+    """The pieces of short words, an agenda step of every word at a time; and each step's (words, candidates, verdicts)."""
     rows, width = len(words), max(map(len, words))
-    chars: dict[str, int] = {}
-    symbols = np.full((rows, width + 1), -1, dtype=np.int64)
-    lengths = np.array([len(w) for w in words])
+    lengths = np.fromiter(map(len, words), dtype=np.int64, count=rows)
     flat = "".join(words)
-    for c in set(flat):
-        chars[c] = vocabulary.symbol(c)
-    filled = np.arange(width + 1)[None] < lengths[:, None]
-    symbols[filled] = np.fromiter(map(chars.__getitem__, flat), dtype=np.int64, count=len(flat))
-    begin = np.where(filled, np.arange(width + 1)[None], lengths[:, None])  # of each symbol; past the end the length
-
-    def offers(row: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        inside = at + 1 < lengths[row]
-        a, b = symbols[row, at], symbols[row, np.minimum(at + 1, width)]
-        piece = np.where(inside, vocabulary.lookup(a, b), -1)
-        score = np.where(piece >= 0, vocabulary.scores[piece], -np.inf)
-        if dropout:
-            stop = begin[row, np.minimum(at + 2, width)]
-            score[skipped(keys[row], begin[row, at], stop, piece, dropout)] = -np.inf
-        return piece, score
-
-    row, at = np.nonzero(filled[:, :width])
-    merged = np.full((rows, width), -1, dtype=np.int64)
-    scores = np.full((rows, width), -np.inf)
-    merged[row, at], scores[row, at] = offers(row, at)
-    column = np.arange(width + 1)[None]
-    active = np.arange(rows)
-    while len(active):
-        best = np.argmax(scores[active], axis=1)
-        go = scores[active, best] > -np.inf
-        active, best = active[go], best[go]
-        if not len(active):
-            break
-        gone = column > best[:, None]  # what stands right of the merge moves one to the left
-        part = symbols[active]
-        shifted = np.concatenate([part[:, 1:], np.full((len(active), 1), -1)], axis=1)
-        part = np.where(gone, shifted, part)
-        part[np.arange(len(active)), best] = merged[active, best]
-        symbols[active] = part
-        place = begin[active]
-        begin[active] = np.where(gone, np.concatenate([place[:, 1:], place[:, -1:]], axis=1), place)
-        for values, empty in ((merged, -1), (scores, -np.inf)):
-            own = values[active]
-            values[active] = np.where(gone[:, :width], np.concatenate([own[:, 1:], np.full((len(active), 1), empty)], axis=1), own)
-        lengths[active] -= 1
-        merged[active, best], scores[active, best] = offers(active, best)
-        left = best > 0
-        merged[active[left], best[left] - 1], scores[active[left], best[left] - 1] = offers(active[left], best[left] - 1)
-    out = []
-    if (symbols[np.arange(width + 1)[None] < lengths[:, None]] >= 0).all():
-        flat_ids = symbols[np.arange(width + 1)[None] < lengths[:, None]].astype(vocabulary.dtype).tobytes()
-        ends = np.cumsum(lengths) * vocabulary.dtype.itemsize
-        starts = ends - lengths * vocabulary.dtype.itemsize
-        return [flat_ids[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-    for row_symbols, length in zip(symbols.tolist(), lengths.tolist()):
-        out.append(np.array(vocabulary.output(row_symbols[:length]), dtype=vocabulary.dtype).tobytes())
-    return out
+    points = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    kinds, kind = np.unique(points, return_inverse=True)
+    own = np.array([vocabulary.symbol(chr(c)) for c in kinds.tolist()], dtype=np.int32)
+    wide = width + 2  # two places past the end, which no symbol holds
+    base = np.arange(rows, dtype=np.int64) * wide
+    place = np.arange(wide)
+    filled = place[None] < lengths[:, None]
+    symbols = np.full((rows, wide), GONE, dtype=np.int32)
+    symbols[filled] = own[kind]
+    merged = np.full((rows, wide), -1, dtype=np.int32)
+    merged[:, :-1] = vocabulary.lookup(symbols[:, :-1].ravel(), symbols[:, 1:].ravel()).reshape(rows, wide - 1)
+    scores = np.where(merged >= 0, vocabulary.scores[merged], np.float32(-np.inf))
+    after = np.minimum(place + 1, wide - 1) + base[:, None]  # flat place of the next symbol
+    before = place - 1 + base[:, None]
+    symbols, merged, after, before = (x.reshape(-1) for x in (symbols, merged, after, before))
+    flat_scores = scores.reshape(-1)
+
+    def offer(at: np.ndarray) -> None:
+        piece = vocabulary.lookup(symbols[at], symbols[after[at]])
+        merged[at] = piece
+        flat_scores[at] = np.where(piece >= 0, vocabulary.scores[piece], np.float32(-np.inf))
+
+    live, steps = np.arange(rows), []
+    while len(live):
+        at = scores[live].argmax(axis=1) + base[live]
+        go = flat_scores[at] > -np.inf
+        if not go.all():
+            live, at = live[go], at[go]
+            if not len(live):
+                break
+        right = after[at]
+        stop = after[right]
+        if limit:
+            candidate = coded(at - base[live], stop - base[live], merged[at].astype(np.int64))
+            skip = verdicts(keys[live], candidate, limit)
+            steps.append((live, candidate, skip))
+            flat_scores[at[skip]] = -np.inf
+            at, right, stop = at[~skip], right[~skip], stop[~skip]
+        symbols[at] = merged[at]
+        symbols[right] = GONE
+        flat_scores[right] = -np.inf
+        after[at] = stop
+        before[stop] = at
+        offer(at)
+        left = before[at]
+        offer(left[left >= at - at % wide])
+    held = symbols.reshape(rows, wide) != GONE
+    counts = held.sum(axis=1)
+    ids = symbols[held.reshape(-1)]
+    ends = np.cumsum(counts)
+    if (ids >= 0).all():
+        raw, cuts = ids.astype(vocabulary.dtype).tobytes(), (ends * vocabulary.dtype.itemsize).tolist()
+        return [raw[a:b] for a, b in zip([0, *cuts], cuts)], steps
+    listed, cuts = ids.tolist(), ends.tolist()
+    return [np.array(vocabulary.output(listed[a:b]), dtype=vocabulary.dtype).tobytes() for a, b in zip([0, *cuts], cuts)], steps
+
+
+class Trees:
+    """A decision tree per word over the verdicts that its agenda can meet.
+
+    A slot is what follows a verdict: -1 not met yet, a node's number, or -2
+    minus the number of the pieces that the word ends in.
+    """
+
+    def __init__(self):
+        self.words: dict[str, int] = {}  # each one's first slot
+        self.slots = np.empty(1 << 16, dtype=np.int32)
+        self.candidates, self.children = (np.empty(1 << 16, dtype=np.int64) for _ in range(2))
+        self.used = self.nodes = 0
+        self.pieces: list[bytes] = []
+
+    def new_slots(self, n: int) -> int:
+        while self.used + n > len(self.slots):
+            self.slots = np.concatenate([self.slots, np.empty_like(self.slots)])
+        self.slots[self.used : self.used + n] = -1
+        self.used += n
+        return self.used - n
+
+    def new_nodes(self, candidates: np.ndarray) -> np.ndarray:
+        """Nodes with two slots each: node k has its slots where children[k] says."""
+        n = len(candidates)
+        while self.nodes + n > len(self.candidates):
+            self.candidates, self.children = (np.concatenate([x, np.empty_like(x)]) for x in (self.candidates, self.children))
+        numbers = np.arange(self.nodes, self.nodes + n)
+        self.candidates[numbers] = candidates
+        self.children[numbers] = self.new_slots(2 * n) + 2 * np.arange(n)
+        self.nodes += n
+        return numbers
+
+    def walk(self, slots: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(what was found, the slot where the walk ended, steps taken) of every occurrence."""
+        slots, depth = slots.copy(), np.zeros(len(slots), dtype=np.int64)
+        found = self.slots[slots]
+        at = np.flatnonzero(found >= 0)
+        while len(at):
+            node = found[at]
+            slots[at] = self.children[node] + verdicts(keys[at], self.candidates[node], limit)
+            found[at] = self.slots[slots[at]]
+            depth[at] += 1
+            at = at[found[at] >= 0]
+        return found, slots, depth
+
+    def learn(self, slots: np.ndarray, depth: np.ndarray, raw: list[bytes], steps: list[tuple]) -> np.ndarray:
+        """Grow the trees by occurrences that left them at `slots` after `depth` steps; returns the numbers of their pieces."""
+        slots = slots.copy()
+        for k, (rows, candidates, skip) in enumerate(steps):
+            beyond = depth[rows] <= k
+            rows, candidates, skip = rows[beyond], candidates[beyond], skip[beyond]
+            here, first = np.unique(slots[rows], return_index=True)
+            new = self.slots[here] == -1
+            self.slots[here[new]] = self.new_nodes(candidates[first[new]])
+            slots[rows] = self.children[self.slots[slots[rows]]] + skip
+        ends, first = np.unique(slots, return_index=True)
+        new = self.slots[ends] == -1
+        self.slots[ends[new]] = -2 - (len(self.pieces) + np.arange(int(new.sum())))
+        self.pieces += [raw[k] for k in first[new].tolist()]
+        return -2 - self.slots[slots]
 
 
 class Encoder:
-    """Encodes texts; remembers words by what was skipped."""
+    """Encodes texts; keeps the decision trees of frequent words."""
 
     def __init__(self, path: str, seed: int = 0, dropout: float = 0.0):
-        self.vocabulary, self.seed, self.dropout = Vocabulary(path), seed, dropout
-        self.longest = max(map(len, self.vocabulary.ids), default=0)
-        self.candidates: dict[str, np.ndarray | None] = {}
-        self.known: dict[str, dict[int, bytes]] = {}
-        self.remembered = 0
+        self.vocabulary, self.seed = Vocabulary(path), seed
+        #: A candidate is skipped if its hash is below this.
+        self.limit = min(MASK, int(dropout * 2.0**64))
+        self.trees = Trees()
 
     def units(self, text: str) -> list[str]:
-        """A text as the strings between which no merge can happen."""
-        marked = SPACE + text.replace(SPACE, "\0").replace(" ", SPACE)
-        if not self.vocabulary.cuts:
-            return [marked]
-        if "\n" in marked and self.vocabulary.cuts_lines:
-            marked = marked.replace("\n", "\x01\n\x01")
-            lines = marked.split("\x01")
-        else:
-            lines = [marked]
+        """A text as the strings between which no merge can happen; a space mark of its own is LITERAL."""
         out: list[str] = []
-        for line in lines:
-            parts = line.split(SPACE)
-            if parts[0]:
-                out.append(parts[0])
-            if "" not in parts[1:]:
-                out += [SPACE + p for p in parts[1:]]
+        mark = SPACE
+        for k, part in enumerate(text.split(SPACE)):
+            if k:
+                out.append(LITERAL)
+            part, mark = mark + part.replace(" ", SPACE), ""
+            if not self.vocabulary.cuts:
+                out += [part] if part else []
                 continue
-            spaces = ""
-            for p in parts[1:]:
-                spaces += SPACE
-                if p:
-                    out.append(spaces + p)
-                    spaces = ""
-            if spaces:
-                out.append(spaces)
+            for n, line in enumerate(part.split("\n") if self.vocabulary.cuts_lines else [part]):
+                if n:
+                    out.append("\n")
+                self._words(line, out)
         return out
 
+    def _words(self, line: str, out: list[str]) -> None:
+        """A line cut in front of each run of spaces."""
+        parts = line.split(SPACE)
+        if parts[0]:
+            out.append(parts[0])
+        if "" not in parts[1:]:
+            out += [SPACE + p for p in parts[1:]]
+            return
+        spaces = ""
+        for p in parts[1:]:
+            spaces += SPACE
+            if p:
+                out.append(spaces + p)
+                spaces = ""
+        if spaces:
+            out.append(spaces)
+
     def encode(self, doc_ids: list[int | None], texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; none for a null or empty text."""
         cut = [self.units(text) if text else [] for text in texts]
         flat = [word for words in cut for word in words]
-        local: dict[str, int] = {}
-        ids = np.fromiter((local.setdefault(word, len(local)) for word in flat), dtype=np.int64, count=len(flat))
-        if self.remembered > REMEMBERED:
-            self.known.clear()
-            self.candidates.clear()
-            self.remembered = 0
-        keys = self._keys(doc_ids, cut) if self.dropout else np.zeros(len(flat), dtype=np.uint64)
-        masks, tables = self._skips(list(local), ids, keys) if self.dropout else ([0] * len(flat), [self.known.setdefault(w, {}) for w in local])
-        picks = ids.tolist()
-        missing: dict[tuple[int, int], int] = {}
-        for k, (word, mask) in enumerate(zip(picks, masks)):
-            if mask not in tables[word]:
-                missing.setdefault((word, mask), k)
-        self._fill(flat, keys, missing, tables)
-        raw = [tables[word][mask] for word, mask in zip(picks, masks)]
+        words = list(dict.fromkeys(flat))
+        number = dict(zip(words, range(len(words))))
+        ids = np.fromiter(map(number.__getitem__, flat), dtype=np.int64, count=len(flat))
+        if self.trees.nodes > REMEMBERED:
+            self.trees = Trees()
+        keys = self._keys(doc_ids, cut) if self.limit else np.zeros(len(flat), dtype=np.uint64)
+        pieces, kept = self.trees.pieces, len(self.trees.pieces)
+        which = self._pieces(flat, words, ids, keys)
+        raw = list(map(pieces.__getitem__, which.tolist()))
+        if len(pieces) > kept + self.learnt:
+            del pieces[kept + self.learnt :]
         out, at = [], 0
-        for words in cut:
-            out.append(np.frombuffer(b"".join(raw[at : at + len(words)]), dtype=self.vocabulary.dtype))
-            at += len(words)
+        for part in cut:
+            out.append(np.frombuffer(b"".join(raw[at : at + len(part)]), dtype=self.vocabulary.dtype))
+            at += len(part)
         return out
 
     def _keys(self, doc_ids: list[int | None], cut: list[list[str]]) -> np.ndarray:
@@ -271,69 +371,51 @@ class Encoder:
                 out.append(common.mixed(np.arange(len(words), dtype=np.uint64) + common.mixed(base, 5), 4))
         return np.concatenate(out)
 
-    def _may_merge(self, word: str) -> np.ndarray | None:
-        """Every candidate that a word's agenda can ever hold; None if they are too many to remember by."""
-        if len(word) > SHORT or "\0" in word:
-            return None
-        get, n = self.vocabulary.ids.get, len(word)
-        found = [(a, b, get(word[a:b])) for a in range(n - 1) for b in range(a + 2, min(n, a + self.longest) + 1) if word[a:b] in self.vocabulary.ids]
-        if len(found) > MOST_CANDIDATES:
-            return None
-        return coded(*np.array(found, dtype=np.int64).reshape(-1, 3).T)
-
-    def _skips(self, words: list[str], ids: np.ndarray, keys: np.ndarray) -> tuple[list[int], list[dict[int, bytes]]]:
-        """Which candidates each occurrence skips, as bits, and each word's segmentations by these.
-
-        A word with too many candidates, or new and rare, has its occurrences'
-        keys in place of the bits and a table that is not kept.
-        """
-        tables, parts = [], []
-        for word, often in zip(words, (np.bincount(ids, minlength=len(words)) >= OFTEN).tolist()):
-            if often and word not in self.candidates:
-                self.candidates[word] = self._may_merge(word)
-                self.remembered += 1
-            parts.append(self.candidates.get(word))
-            tables.append({} if parts[-1] is None else self.known.setdefault(word, {}))
-        direct = np.array([p is None for p in parts], dtype=bool)
-        some = [np.zeros(0, dtype=np.uint64) if p is None else p for p in parts]
-        sizes = np.array([len(p) for p in some], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        candidates = np.concatenate(some) if some else np.zeros(0, dtype=np.uint64)
-        masks = np.zeros(len(ids), dtype=np.uint64)
-        for at in range(0, len(ids), JUDGED):
-            part = ids[at : at + JUDGED]
-            owner = np.repeat(np.arange(len(part)), sizes[part])
-            bit = np.arange(len(owner)) - np.repeat(np.cumsum(sizes[part]) - sizes[part], sizes[part])
-            skip = np.flatnonzero(verdicts(keys[at : at + JUDGED][owner], candidates[starts[part][owner] + bit], self.dropout))
-            np.bitwise_or.at(masks, at + owner[skip], np.uint64(1) << bit[skip].astype(np.uint64))
-        if len(ids):
-            masks = np.where(direct[ids], keys, masks)
-        return masks.tolist(), tables
-
-    def _fill(self, flat: list[str], keys: np.ndarray, missing: dict[tuple[int, int], int], tables: list[dict[int, bytes]]) -> None:
-        """The segmentations that are not yet known, each from one occurrence that has it."""
-        short, long = [], []
-        for pair, k in missing.items():
-            (short if len(flat[k]) <= SHORT and "\0" not in flat[k] else long).append((pair, k))
-        short.sort(key=lambda x: len(flat[x[1]]))
-        for at in range(0, len(short), TOGETHER):
-            part = short[at : at + TOGETHER]
-            made = by_arrays(self.vocabulary, [flat[k] for _, k in part], keys[[k for _, k in part]], self.dropout)
-            for ((word, mask), k), raw in zip(part, made):
-                tables[word][mask] = raw
-                self.remembered += flat[k] in self.known
-        for (word, mask), k in long:
-            tables[word][mask] = self._long(flat[k], int(keys[k]))
-            self.remembered += flat[k] in self.known
+    def _pieces(self, flat: list[str], words: list[str], ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """The number of each occurrence's pieces in the trees' list; from `kept + learnt` on they are of this group alone."""
+        trees = self.trees
+        often = np.bincount(ids, minlength=len(words)) >= OFTEN
+        first = np.empty(len(words), dtype=np.int64)  # a slot, -1 for a word without a tree, -2 for a long one
+        for k, (word, many) in enumerate(zip(words, often.tolist())):
+            slot = trees.words.get(word, -1)
+            if slot < 0:
+                if len(word) > SHORT or word == LITERAL:
+                    slot = -2
+                elif many:
+                    slot = trees.words[word] = trees.new_slots(1)
+            first[k] = slot
+        at = first[ids]
+        which = np.empty(len(ids), dtype=np.int64)
+        inside = np.flatnonzero(at >= 0)
+        found, slots, depth = trees.walk(at[inside], keys[inside], self.limit)
+        which[inside] = -2 - found
+        self.learnt = -len(trees.pieces)
+        lost = found == -1
+        size = np.array([len(w) for w in words], dtype=np.int64)[ids] if len(words) else ids
+        for part in self._together(inside[lost], size):
+            here = np.searchsorted(inside, part)
+            raw, steps = by_arrays(self.vocabulary, [flat[k] for k in part.tolist()], keys[part], self.limit)
+            which[part] = trees.learn(slots[here], depth[here], raw, steps)
+        self.learnt += len(trees.pieces)
+        for part in self._together(np.flatnonzero(at == -1), size):
+            which[part] = len(trees.pieces) + np.arange(len(part))
+            trees.pieces += by_arrays(self.vocabulary, [flat[k] for k in part.tolist()], keys[part], self.limit)[0]
+        for k in np.flatnonzero(at == -2).tolist():
+            which[k] = len(trees.pieces)
+            trees.pieces.append(self._long(flat[k], int(keys[k])))
+        return which
+
+    def _together(self, rows: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
+        """Occurrences of like length in groups."""
+        rows = rows[np.argsort(size[rows], kind="stable")]
+        return [rows[a : a + TOGETHER] for a in range(0, len(rows), TOGETHER)]
 
     def _long(self, word: str, key: int) -> bytes:
-        """A long word, or one with a literal space mark, which is written as bytes."""
-        out: list[int] = []
-        for k, piece in enumerate(word.split("\0")):
-            if k:
-                out += [self.vocabulary.byte_ids[b] for b in SPACE.encode()]
-            if piece:
-                out += by_heap(self.vocabulary, piece, (key + k) % 2**64, self.dropout)
+        """A long word, or a literal space mark, which is written as bytes."""
+        if word == LITERAL:
+            out = [self.vocabulary.byte_ids[b] for b in SPACE.encode()]
+        else:
+            out = by_heap(self.vocabulary, word, key, self.limit)
         return np.array(out, dtype=self.vocabulary.dtype).tobytes()
 
     def decode(self, ids: np.ndarray) -> str:
