@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tidemark.llm import common, fit, katz, line_crf, rules, toxicity
-from tidemark.llm.queries import vocabulary
+from tidemark.llm.queries import fertility_vocabularies, vocabulary
 
 SF = "/root/testdata/sf0.01"
 
@@ -97,19 +97,19 @@ def brute_rules(text):
 def test_base_rules(spark, documents, odd, empty):
     for frame in (documents, odd):
         texts = [(r["doc_id"], r["text"]) for r in frame.select("doc_id", "text").collect()]
-        got = [tuple(r)[:7] for r in rules.score(frame, vocabulary("piece_bpe_32k.model")).collect()]
+        got = [tuple(r)[:7] for r in rules.score(frame, fertility_vocabularies()).collect()]
         assert sorted(got, key=repr) == sorted([(d, *brute_rules(t)) for d, t in texts], key=repr)
-    assert rules.score(empty, vocabulary("piece_bpe_32k.model")).count() == 0
+    assert rules.score(empty, fertility_vocabularies()).count() == 0
 
 
 def test_rules_keep_clean_and_reject_bad_text(spark, tables):
     documents, labels = tables
-    scored = rules.score(documents, vocabulary("piece_bpe_32k.model")).join(labels, "doc_id").collect()
+    scored = rules.score(documents, fertility_vocabularies()).join(labels, "doc_id").collect()
     clean = [r for r in scored if r["quality"] == 1 and not r["base_failed"]]
     assert all(r["kept"] for r in clean)
     coded = "".join(chr(0x2500 + k * 7 % 300) for k in range(400))
     frame = spark.createDataFrame([(1, " ".join(coded[k : k + 16] for k in range(0, 400, 16)))], "doc_id long, text string")
-    row = rules.score(frame, vocabulary("piece_bpe_32k.model")).first()
+    row = rules.score(frame, fertility_vocabularies()).first()
     assert not row["base_failed"] and not row["kept"] and row["fallback_share"] > 0.2
 
 

@@ -5,7 +5,7 @@ import pytest
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from tidemark.llm import common, rules, toxicity  # noqa: E402
-from tidemark.llm.queries import vocabulary  # noqa: E402
+from tidemark.llm.queries import fertility_vocabularies, vocabulary  # noqa: E402
 
 from .test_search import brute_join  # noqa: E402
 
@@ -16,7 +16,7 @@ def test_pipeline_equals_its_parts(spark):
     documents = common.table(spark, SF, "documents")
     model = toxicity.train(documents, common.table(spark, SF, "labels"))
     toxic = {r["doc_id"] for r in toxicity.score(documents, model).collect() if r["predicted"]}
-    failed = {r["doc_id"] for r in rules.score(documents, vocabulary("piece_bpe_32k.model")).collect() if not r["kept"]}
+    failed = {r["doc_id"] for r in rules.score(documents, fertility_vocabularies()).collect() if not r["kept"]}
     left = [(r["doc_id"], r["text"]) for r in documents.collect() if r["doc_id"] not in toxic | failed]
     expected = {doc for doc, n, component in brute_join(left) if doc == component or not n}
     packed = corpus_pipeline.run(spark, SF).collect()

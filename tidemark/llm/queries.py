@@ -15,6 +15,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def fertility_vocabularies() -> tuple[str, ...]:
+    """The vocabularies whose fertility the quality rules measure."""
+    return vocabulary("piece_bpe_32k.model"), vocabulary("byte_bpe_multi_50k.tiktoken")
+
+
 def op1_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import line_crf
 
@@ -70,7 +75,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .rules import score
 
-    return score(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return score(table(spark, sf_dir, "documents"), fertility_vocabularies())
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
