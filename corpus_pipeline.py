@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import common, jaccard, packing, rules, toxicity
-from tidemark.llm.queries import vocabulary
+from tidemark.llm.queries import fertility_vocabularies, vocabulary
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the fertility bands."""
-    return rules.keep_good(docs, vocabulary("piece_bpe_32k.model"))
+    return rules.keep_good(docs, fertility_vocabularies())
 
 
 def single(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
