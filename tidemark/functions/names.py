@@ -53,9 +53,15 @@ def midpoint(first: Column, last: Column) -> Column:
     return F.date_add(first, F.floor(F.datediff(last, first) / 2).cast("int"))
 
 
+def framed(*parts: Column) -> Column:
+    """Several columns as one text that no other values give: each with its length in front; NULL is `-`."""
+    texts = [p.cast("string") for p in parts]
+    return F.concat(*[F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts])
+
+
 def identity(annotations: Column, passage: Column, *parts: Column) -> Column:
     """16 hex digits of the parts' hash; NULL, which equals nothing, for DISTINCT points and empty passages."""
-    text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in (*parts, annotations, passage)])
+    text = framed(*parts, annotations, passage)
     return F.when((annotations != "DISTINCT") & (passage != ""), F.substring(F.sha2(text, 256), 1, 16))
 
 
@@ -66,7 +72,7 @@ BASES = "TCAG"
 
 def translated(nucleotides: Column) -> Column:
     """Codons to amino acids: a whole deletion stays one, anything unknown is X, a partial codon is dropped."""
-    codons = F.transform(F.sequence(F.lit(0), F.greatest(F.floor(F.length(nucleotides) / 3).cast("int") - 1, F.lit(0))), lambda i: F.substr(nucleotides, i * 3 + 1, F.lit(3)))
+    codons = F.regexp_extract_all(nucleotides, F.lit("[^.]{3}"), F.lit(0))  # one pass, however long the text is
 
     def amino(codon: Column) -> Column:
         digit = lambda k: F.instr(F.lit(BASES), F.substr(codon, F.lit(k), F.lit(1))) - 1
@@ -90,7 +96,7 @@ def p_distance(a: Column, b: Column, called: str = "ACGT", least: float = 0.9) -
     pairs = F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: F.when(F.instr(F.lit(called), x).between(1, 99) & F.instr(F.lit(called), y).between(1, 99), (x != y).cast("int")))
     compared = F.filter(pairs, lambda x: x.isNotNull())
     size = F.greatest(F.length(a), F.length(b))
-    return F.when(F.size(compared) >= least * size, F.aggregate(compared, F.lit(0), lambda s, x: s + x) / F.size(compared))
+    return F.when((F.size(compared) > 0) & (F.size(compared) >= least * size), F.aggregate(compared, F.lit(0), lambda s, x: s + x) / F.size(compared))
 
 
 def passage_class(passage: Column) -> Column:
@@ -111,6 +117,11 @@ def wrapped_longitude(longitude: Column, centre: Column) -> Column:
 
 
 def natural(text: Column) -> Column:
-    """A sort key in which numbers inside a text count as numbers."""
+    """A sort key in which numbers inside a text, however long, count as numbers: their digits follow their number of digits."""
     parts = F.regexp_extract_all(text, F.lit(r"(\d+|\D+)"), F.lit(1))
-    return F.array_join(F.transform(parts, lambda p: F.when(p.rlike(r"^\d+$"), F.lpad(p, 12, "0")).otherwise(p)), "")
+
+    def key(part: Column) -> Column:
+        digits = F.regexp_replace(part, r"^0+(?=\d)", "")
+        return F.when(part.rlike(r"^\d+$"), F.concat(F.lpad(F.length(digits).cast("string"), 9, "0"), digits)).otherwise(part)
+
+    return F.array_join(F.transform(parts, key), "")

@@ -60,13 +60,39 @@ def moved(points: DataFrame, *by: str) -> DataFrame:
     return points.withColumn("distance", F.round(F.sqrt(F.pow(F.col("x") - F.col("u"), 2) + F.pow(F.col("y") - F.col("v"), 2)), 9))
 
 
-def bulk(points: DataFrame, limit: float, least: int = 3) -> DataFrame:
-    """How many points stay within the limit, and the RMSD of those and of all; the bulk counts only if it is half or more."""
-    d = moved(points)
-    near = F.col("distance") <= limit
-    sums = d.agg(F.count("*").alias("n"), F.count_if(near).alias("n_bulk"), F.sqrt(F.avg(F.pow("distance", F.lit(2)))).alias("all"), F.sqrt(F.avg(F.when(near, F.pow("distance", F.lit(2))))).alias("near"))
-    usable = F.col("n_bulk") >= F.greatest(F.lit(least), F.ceil(F.col("n") / 2))
-    return sums.select("n", "n_bulk", usable.alias("uses_bulk"), F.round(F.when(usable, F.col("near")).otherwise(F.col("all")), 6).alias("rmsd"))
+def fitted(points: DataFrame) -> DataFrame:
+    """The points with `distance`, how far each (u, v) stays from its (x, y) after the best rotation, reflection and shift."""
+    s = _sums(points, ())
+    cos, sin = F.col("s_xu") + F.col("s_yv"), F.col("s_yu") - F.col("s_xv")
+    cos_r, sin_r = F.col("s_xu") - F.col("s_yv"), F.col("s_yu") + F.col("s_xv")
+    plain, mirrored = F.sqrt(cos * cos + sin * sin), F.sqrt(cos_r * cos_r + sin_r * sin_r)
+    reflect = mirrored > plain + 1e-12
+    size = F.when(reflect, mirrored).otherwise(plain)
+    turn = s.select(
+        *[F.col(f"m_{c}").alias(f"__m{c}") for c in "xyuv"],
+        F.when(reflect, -1.0).otherwise(1.0).alias("__flip"),
+        F.coalesce(F.when(reflect, cos_r).otherwise(cos) / F.nullif(size, F.lit(0.0)), F.lit(1.0)).alias("__cos"),
+        F.coalesce(F.when(reflect, sin_r).otherwise(sin) / F.nullif(size, F.lit(0.0)), F.lit(0.0)).alias("__sin"),
+    )
+    both = points.join(F.broadcast(turn))  # one row
+    u, v = F.col("u") - F.col("__mu"), (F.col("v") - F.col("__mv")) * F.col("__flip")
+    dx = u * F.col("__cos") - v * F.col("__sin") + F.col("__mx") - F.col("x")
+    dy = u * F.col("__sin") + v * F.col("__cos") + F.col("__my") - F.col("y")
+    return both.withColumn("distance", F.sqrt(dx * dx + dy * dy)).select(*points.columns, "distance")
+
+
+def bulk(points: DataFrame, limit: float = 1.0, least: int = 3) -> DataFrame:
+    """Orientation of the bulk: fitted again without the points that the fit of all leaves beyond the limit.
+
+    Under half of the points (or under `least`) within it there is no bulk,
+    and the fit of all points stands.
+    """
+    near = fitted(points).where(F.col("distance") <= limit)
+    every = procrustes(points).select("n", *[F.col(c).alias(f"all_{c}") for c in ("reflected", "degrees", "rmsd")])
+    again = procrustes(near).withColumnRenamed("n", "n_bulk")
+    both = every.join(F.broadcast(again))  # a row each
+    usable = F.col("n_bulk") >= F.greatest(F.lit(least), F.floor(F.col("n") / 2))
+    return both.select("n", "n_bulk", usable.alias("uses_bulk"), *[F.when(usable, F.col(c)).otherwise(F.col(f"all_{c}")).alias(c) for c in ("reflected", "degrees", "rmsd")])
 
 
 def centroid_shift(points: DataFrame, by: str) -> DataFrame:

@@ -81,9 +81,16 @@ def hidden(dots: DataFrame, radius: float) -> DataFrame:
 
 
 def rerooted(nodes: DataFrame, path: DataFrame) -> DataFrame:
-    """Parents after rooting at the first node of `path` (node, place), the nodes from it to the old root: only the path's links turn."""
-    turned = path.select(F.col("node").alias("on"), F.lag("node").over(Window.orderBy("place")).alias("new_parent"))
-    return nodes.join(turned, nodes["node"] == turned["on"], "left").select("node", F.when(F.col("on").isNotNull(), F.col("new_parent")).otherwise(F.col("parent")).alias("parent"))
+    """Parents and branch lengths after rooting at the first node of `path` (node, place from 1 without gaps), the nodes from it to the old root.
+
+    Only the path's links turn: each of its nodes hangs on the one before it, by that one's old branch.
+    """
+    step = path.select(F.col("node").alias("new_parent"), (F.col("place") + 1).alias("place"))
+    turned = path.select(F.col("node").alias("on"), "place").join(step, "place", "left").select("on", "new_parent")
+    turned = turned.join(nodes.select(F.col("node").alias("new_parent"), F.col("length").alias("new_length")), "new_parent", "left")
+    turns = F.col("on").isNotNull()
+    joined = nodes.join(turned, nodes["node"] == turned["on"], "left")
+    return joined.select("node", F.when(turns, F.col("new_parent")).otherwise(F.col("parent")).alias("parent"), F.when(turns, F.col("new_length")).otherwise(F.col("length")).alias("length"))
 
 
 def collapsed(nodes: DataFrame, pairs: DataFrame, shortest: float) -> DataFrame:

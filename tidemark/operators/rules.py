@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -26,6 +26,14 @@ def first_match(rows: DataFrame, rules: DataFrame, scope: Sequence[str], key: Se
     )
 
 
+def decided(rows: DataFrame, rules: DataFrame, scope: Sequence[str], key: Sequence[str]) -> DataFrame:
+    """All rows with their first rule; each distinct key meets the rules once, and NULL keys find theirs again."""
+    hits = first_match(rows.select(*key).distinct(), rules, scope, key)
+    hits = hits.withColumnsRenamed({k: f"__{k}" for k in key})
+    same = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(hits[f"__{k}"]) for k in key])
+    return rows.join(hits, same, "left").drop(*[f"__{k}" for k in key])
+
+
 def usage(matched: DataFrame, rules: DataFrame) -> DataFrame:
     """How many rows each rule decided; 0 for a rule that did nothing."""
     hits = matched.where("rule_line is not null").groupBy("rule_line").agg(F.count("*").alias("hits"))
@@ -76,10 +84,12 @@ def low_divergence(rows: DataFrame, year: str, distance: str, ratio: float, leas
 
 def place(distances: DataFrame, key: str, margin: int) -> DataFrame:
     """The reference with the fewest substitutions per row, if it leads by the margin; else `ambiguous`."""
-    ordered = distances.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("substitutions", "reference"))).alias("x"))
-    first, second = F.element_at("x", 1), F.try_element_at("x", F.lit(2))
-    clear = F.coalesce(second["substitutions"] - first["substitutions"] >= margin, F.lit(True))
-    return ordered.select(key, F.when(clear, first["reference"]).alias("placed"), F.when(clear, "").otherwise("ambiguous").alias("flag"), first["substitutions"].alias("substitutions"))
+    order = Window.partitionBy(key).orderBy("substitutions", "reference")
+    two = distances.withColumn("__place", F.row_number().over(order)).where("__place <= 2")  # a row's two best reach the aggregate
+    best = lambda n, c: F.max(F.when(F.col("__place") == n, F.col(c)))
+    leading = two.groupBy(key).agg(best(1, "reference").alias("reference"), best(1, "substitutions").alias("substitutions"), best(2, "substitutions").alias("second"))
+    clear = F.coalesce(F.col("second") - F.col("substitutions") >= margin, F.lit(True))
+    return leading.select(key, F.when(clear, F.col("reference")).alias("placed"), F.when(clear, "").otherwise("ambiguous").alias("flag"), "substitutions")
 
 
 def held(rows: DataFrame, most: int, rate: float) -> DataFrame:

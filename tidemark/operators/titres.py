@@ -97,17 +97,22 @@ def outcome_counts(cells: DataFrame) -> DataFrame:
     return cells.groupBy("outcome").agg(F.count("*").alias("n_cells"), F.count("value").alias("n_titres"))
 
 
-def column_basis(cells: DataFrame, serum: str, minimum: float = 0.0, forced: DataFrame | None = None) -> DataFrame:
+def column_basis(cells: DataFrame, serum: str, minimum: float = 0.0, forced: DataFrame | None = None, fixed: DataFrame | None = None) -> DataFrame:
     """Each serum's basis: its largest log titre, more-than titres one up, not below the minimum.
 
-    `forced` (serum, forced_basis) takes precedence over what is computed.
+    `forced` (serum, forced_basis), a chart's own bases, takes precedence over
+    what is computed and is raised to the minimum too; `fixed` (serum,
+    fixed_basis), a projection's, is taken as it is.
     """
     log = T.log_titre(F.col("basis_value"))
     part = F.when(F.col("basis_kind") == T.MORE, log + 1).otherwise(log)
     found = cells.groupBy(serum).agg(F.round(F.greatest(F.lit(0.0), F.coalesce(F.max(part), F.lit(0.0))), 9).alias("computed"))
     if forced is not None:
         found = found.join(forced, serum, "left").withColumn("computed", F.coalesce("forced_basis", "computed")).drop("forced_basis")
-    return found.select(serum, F.greatest(F.col("computed"), F.lit(minimum)).alias("basis"))
+    found = found.select(serum, F.greatest(F.col("computed"), F.lit(minimum)).alias("basis"))
+    if fixed is not None:
+        found = found.join(fixed, serum, "left").select(serum, F.coalesce("fixed_basis", "basis").alias("basis"))
+    return found
 
 
 def disconnected(cells: DataFrame, point: str, least: int = 3) -> DataFrame:

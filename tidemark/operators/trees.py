@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -177,8 +178,12 @@ def newick(texts: DataFrame) -> DataFrame:
     return texts.select("tree", "text").mapInPandas(run, "tree long, pre long, node long, parent long, name string, length double")
 
 
+#: What a name can hold only inside quotes.
+NEWICK_MARKS = re.compile(r"[\s()\[\]',:;]")
+
+
 def parse_newick(text: str) -> list[tuple]:
-    """(pre, node, parent, name, length) rows; node numbers are pre-order."""
+    """(pre, node, parent, name, length) rows; node numbers are pre-order.  Unbalanced text is a ValueError."""
     rows: list[list] = [[0, 0, None, "", None]]
     here, i, n = 0, 0, len(text)
 
@@ -186,14 +191,19 @@ def parse_newick(text: str) -> list[tuple]:
         rows.append([len(rows), len(rows), parent, "", None])
         return len(rows) - 1
 
+    def above(node: int, at: int) -> int:
+        if rows[node][2] is None:
+            raise ValueError(f"Newick text isn't balanced at character {at}")
+        return rows[node][2]
+
     while i < n:
         c = text[i]
         if c == "(":
             here = child(here)
         elif c == ",":
-            here = child(rows[here][2])
+            here = child(above(here, i))
         elif c == ")":
-            here = rows[here][2]
+            here = above(here, i)
         elif c == "[":
             i = text.index("]", i)
         elif c == ";":
@@ -218,11 +228,19 @@ def parse_newick(text: str) -> list[tuple]:
                 rows[here][4] = float(length)
             i = end - 1
         i += 1
+    if here:
+        raise ValueError("Newick text ends inside a bracket")
     return [tuple(r) for r in rows]
 
 
 def write_newick(nodes: DataFrame) -> DataFrame:
-    """(tree, text) from (tree, node, parent, name, length), children in node order; a fold per tree."""
+    """(tree, text) from (tree, node, parent, name, length), children in node order; a fold per tree.
+
+    Lengths have 10 significant digits; a name that the format's own characters are in is quoted.
+    """
+
+    def label(name: str) -> str:
+        return "'" + name.replace("'", "''") + "'" if NEWICK_MARKS.search(name) else name
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         children: dict = {}
@@ -244,7 +262,7 @@ def write_newick(nodes: DataFrame) -> DataFrame:
                 continue
             name, length = named[node]
             own = "(" + ",".join(text.pop(c) for c in below) + ")" if below else ""
-            text[node] = own + name + (f":{length:g}" if length is not None and length == length else "")
+            text[node] = own + label(name) + (f":{length:.10g}" if length is not None and length == length else "")
         return pd.DataFrame({"tree": [rows["tree"].iloc[0]], "text": [text[root] + ";"]})
 
     return nodes.groupBy("tree").applyInPandas(run, "tree long, text string")

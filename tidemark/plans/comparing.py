@@ -63,13 +63,29 @@ def procrustes_by_group(spark, sf_dir):
     return comparing.procrustes(_points(spark, sf_dir), "label")
 
 
+BULK = """
+whole AS (SELECT vec_id, x, y, CASE WHEN vec_id % 11 = 0 THEN u + 4 ELSE u END AS u, CASE WHEN vec_id % 11 = 0 THEN v - 2 ELSE v END AS v FROM points),
+sums AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(u) AS mu, avg(v) AS mv, covar_pop(x, u) AS xu, covar_pop(x, v) AS xv, covar_pop(y, u) AS yu, covar_pop(y, v) AS yv,
+  var_pop(x) + var_pop(y) + var_pop(u) + var_pop(v) AS spread FROM whole),
+sizes AS (SELECT *, sqrt((xu + yv) * (xu + yv) + (yu - xv) * (yu - xv)) AS p, sqrt((xu - yv) * (xu - yv) + (yu + xv) * (yu + xv)) AS m FROM sums),
+turn AS (SELECT *, CASE WHEN m > p + 1e-12 THEN -1 ELSE 1 END AS flip, CASE WHEN m > p + 1e-12 THEN (xu - yv) / m ELSE (xu + yv) / p END AS c, CASE WHEN m > p + 1e-12 THEN (yu + xv) / m ELSE (yu - xv) / p END AS s FROM sizes),
+near AS (SELECT x, y, u, v FROM (SELECT w.*, (w.u - mu) * c - (w.v - mv) * flip * s + mx - w.x AS dx, (w.u - mu) * s + (w.v - mv) * flip * c + my - w.y AS dy FROM whole w, turn) WHERE sqrt(dx * dx + dy * dy) <= 1.0),
+again AS (SELECT count(*) AS n_bulk, covar_pop(x, u) AS xu, covar_pop(x, v) AS xv, covar_pop(y, u) AS yu, covar_pop(y, v) AS yv, var_pop(x) + var_pop(y) + var_pop(u) + var_pop(v) AS spread FROM near),
+chosen AS (SELECT t.n, a.n_bulk, a.n_bulk >= greatest(3, t.n // 2) AS uses_bulk,
+  CASE WHEN a.n_bulk >= greatest(3, t.n // 2) THEN a.xu ELSE t.xu END AS xu, CASE WHEN a.n_bulk >= greatest(3, t.n // 2) THEN a.xv ELSE t.xv END AS xv,
+  CASE WHEN a.n_bulk >= greatest(3, t.n // 2) THEN a.yu ELSE t.yu END AS yu, CASE WHEN a.n_bulk >= greatest(3, t.n // 2) THEN a.yv ELSE t.yv END AS yv,
+  CASE WHEN a.n_bulk >= greatest(3, t.n // 2) THEN a.spread ELSE t.spread END AS spread FROM turn t, again a),
+fit AS (SELECT *, sqrt((xu + yv) * (xu + yv) + (yu - xv) * (yu - xv)) AS p, sqrt((xu - yv) * (xu - yv) + (yu + xv) * (yu + xv)) AS m FROM chosen)"""
+
+
 @query(
-    f"""WITH {POINTS}, d AS (SELECT sqrt((x - u) * (x - u) + (y - v) * (y - v)) AS d FROM points), s AS (SELECT count(*) AS n, count(*) FILTER (WHERE round(d, 9) <= 0.15) AS n_bulk, sqrt(avg(d * d)) AS every,
-    sqrt(avg(d * d) FILTER (WHERE round(d, 9) <= 0.15)) AS near FROM d)
-    SELECT n, n_bulk, n_bulk >= greatest(3, ceil(n / 2)) AS uses_bulk, round(CASE WHEN n_bulk >= greatest(3, ceil(n / 2)) THEN near ELSE every END, 6) AS rmsd FROM s"""
+    f"""WITH {POINTS}, {BULK} SELECT n, n_bulk, uses_bulk, m > p + 1e-12 AS reflected, round(degrees(CASE WHEN m > p + 1e-12 THEN atan2(yu + xv, xu - yv) ELSE atan2(yu - xv, xu + yv) END), 6) AS degrees,
+    round(sqrt(greatest(0.0, spread - 2 * greatest(p, m))), 6) AS rmsd FROM fit"""
 )
 def bulk_refit(spark, sf_dir):
-    return comparing.bulk(_points(spark, sf_dir), 0.15)
+    far = F.col("vec_id") % 11 == 0
+    points = _points(spark, sf_dir).withColumn("u", F.when(far, F.col("u") + 4).otherwise(F.col("u"))).withColumn("v", F.when(far, F.col("v") - 2).otherwise(F.col("v")))
+    return comparing.bulk(points)
 
 
 @query(f"WITH {POINTS}, c AS (SELECT label, count(*) AS n, avg(x) AS x, avg(y) AS y, avg(u) AS u, avg(v) AS v FROM points GROUP BY 1) SELECT label, n, round(sqrt((x - u) * (x - u) + (y - v) * (y - v)), 6) AS shift FROM c")

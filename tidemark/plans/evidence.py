@@ -115,13 +115,13 @@ def hidden_dots(spark, sf_dir):
 @query(
     f"""WITH {NODES}, path AS (SELECT ancestor AS node, row_number() OVER (ORDER BY distance) AS place FROM pairs WHERE descendant = 17),
     turned AS (SELECT node, lag(node) OVER (ORDER BY place) AS new_parent FROM path)
-    SELECT n.node, CASE WHEN t.node IS NOT NULL THEN t.new_parent ELSE n.parent END AS parent FROM nodes n LEFT JOIN turned t ON n.node = t.node"""
+    SELECT n.node, CASE WHEN t.node IS NOT NULL THEN t.new_parent ELSE n.parent END AS parent,
+      CASE WHEN t.node IS NOT NULL THEN (t.new_parent % 7) / 10.0 WHEN n.parent IS NOT NULL THEN (n.node % 7) / 10.0 END AS length FROM nodes n LEFT JOIN turned t ON n.node = t.node"""
 )
 def reroot(spark, sf_dir):
-    from pyspark.sql import Window
-
-    path = _pairs(spark, sf_dir).where("descendant = 17").select(F.col("ancestor").alias("node"), F.row_number().over(Window.orderBy("distance")).alias("place"))
-    return evidence.rerooted(_nodes(spark, sf_dir), path)
+    path = _pairs(spark, sf_dir).where("descendant = 17").select(F.col("ancestor").alias("node"), (F.col("distance") + 1).alias("place"))
+    nodes = _nodes(spark, sf_dir)
+    return evidence.rerooted(nodes.withColumn("length", F.when(F.col("parent").isNotNull(), F.col("node") % 7 / 10.0)), path)
 
 
 @query(

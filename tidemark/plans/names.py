@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import names
+from tidemark.operators import order
 from tidemark.sources import standins
 
 from .registry import query
@@ -107,7 +108,7 @@ def interval_overlap(spark, sf_dir):
 
 @query(
     """SELECT p_partkey AS id, CASE WHEN p_partkey % 6 <> 0 AND p_partkey % 7 <> 0 THEN
-    substring(sha256(p_name || '|' || p_brand || '|' || '|' || p_type), 1, 16) END AS identity FROM part"""
+    substring(sha256(length(p_name) || ':' || p_name || length(p_brand) || ':' || p_brand || '0:' || length(p_type) || ':' || p_type), 1, 16) END AS identity FROM part"""
 )
 def identity_key(spark, sf_dir):
     part = standins.table(spark, sf_dir, "part")
@@ -118,12 +119,12 @@ def identity_key(spark, sf_dir):
 
 NUCLEOTIDES = """
 sequences AS (
-  SELECT doc_id AS id, translate(regexp_replace(upper(substring(text, 1, 60)), '[^ACGTEINOR-]', '', 'g'), 'EINOR', 'ACGTN') AS nuc FROM documents)"""
+  SELECT doc_id AS id, translate(regexp_replace(upper(text), '[^ACGTEINOR-]', '', 'g'), 'EINOR', 'ACGTN') AS nuc FROM documents)"""
 
 
 def _sequences(spark, sf_dir):
-    cut = F.regexp_replace(F.upper(F.substring("text", 1, 60)), "[^ACGTEINOR-]", "")
-    return standins.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate(cut, "EINOR", "ACGTN").alias("nuc"))
+    letters = F.regexp_replace(F.upper("text"), "[^ACGTEINOR-]", "")
+    return standins.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate(letters, "EINOR", "ACGTN").alias("nuc"))
 
 
 CODE = ", ".join(
@@ -136,7 +137,8 @@ CODE = ", ".join(
 
 @query(
     f"""WITH {NUCLEOTIDES}, code(codon, aa) AS (VALUES {CODE}),
-    codons AS (SELECT id, i, substring(nuc, CAST(i * 3 + 1 AS BIGINT), 3) AS codon FROM sequences, range(0, 20) r(i) WHERE i * 3 + 3 <= length(nuc)),
+    lists AS (SELECT id, regexp_extract_all(nuc, '...') AS list FROM sequences),
+    codons AS (SELECT id, unnest(list) AS codon, generate_subscripts(list, 1) AS i FROM lists),
     joined AS (SELECT c.id, string_agg(CASE WHEN c.codon = '---' THEN '-' ELSE coalesce(aa, 'X') END, '' ORDER BY i) AS protein FROM codons c LEFT JOIN code USING (codon) GROUP BY 1)
     SELECT s.id, coalesce(j.protein, '') AS protein FROM sequences s LEFT JOIN joined j USING (id)"""
 )
@@ -144,26 +146,33 @@ def codon_translate(spark, sf_dir):
     return _sequences(spark, sf_dir).select("id", names.translated(F.col("nuc")).alias("protein"))
 
 
+LOCI = [(7, "T"), (250, "A"), (4000, "C")]
+
+
 @query(
-    f"""WITH {NUCLEOTIDES} SELECT evidence, count(*) AS n FROM (SELECT CASE WHEN length(nuc) < 7 OR substring(nuc, 7, 1) = 'N' THEN 'unobservable'
-    WHEN substring(nuc, 7, 1) = 'T' THEN 'equal' ELSE 'contradicts' END AS evidence FROM sequences) GROUP BY 1"""
+    f"""WITH {NUCLEOTIDES}, loci(locus, state) AS (VALUES {", ".join(map(str, LOCI))}) SELECT locus, evidence, count(*) AS n FROM (
+    SELECT locus, CASE WHEN length(nuc) < locus OR substring(nuc, locus, 1) = 'N' THEN 'unobservable'
+    WHEN substring(nuc, locus, 1) = state THEN 'equal' ELSE 'contradicts' END AS evidence FROM sequences, loci) GROUP BY 1, 2"""
 )
 def locus_evidence(spark, sf_dir):
-    found = names.evidence(F.col("nuc"), F.lit(7), F.lit("T"), unknown="N")
-    return _sequences(spark, sf_dir).select(found.alias("evidence")).groupBy("evidence").agg(F.count("*").alias("n"))
+    at = F.explode(F.array(*[F.struct(F.lit(p).alias("locus"), F.lit(s).alias("state")) for p, s in LOCI])).alias("at")
+    rows = _sequences(spark, sf_dir).select("nuc", at)
+    found = names.evidence(F.col("nuc"), F.col("at.locus"), F.col("at.state"), unknown="N")
+    return rows.select(F.col("at.locus").alias("locus"), found.alias("evidence")).groupBy("locus", "evidence").agg(F.count("*").alias("n"))
 
 
 @query(
-    f"""WITH {NUCLEOTIDES}, cut AS (SELECT id, substring(nuc, 1, 24) AS nuc FROM sequences WHERE length(nuc) >= 24),
-    ref AS (SELECT nuc AS ref FROM cut ORDER BY id LIMIT 1),
-    sites AS (SELECT id, substring(nuc, CAST(i AS BIGINT), 1) AS a, substring(ref, CAST(i AS BIGINT), 1) AS b FROM cut, ref, range(1, 25) r(i)),
-    counted AS (SELECT id, count(*) FILTER (WHERE a IN ('A','C','G','T') AND b IN ('A','C','G','T')) AS n, count(*) FILTER (WHERE a IN ('A','C','G','T') AND b IN ('A','C','G','T') AND a <> b) AS d FROM sites GROUP BY 1)
-    SELECT id, CASE WHEN n >= 0.5 * 24 THEN round(d * 1.0 / n, 9) END AS distance FROM counted"""
+    f"""WITH {NUCLEOTIDES}, ref AS (SELECT nuc AS ref FROM sequences ORDER BY id LIMIT 1),
+    left_sites AS (SELECT id, length(nuc) AS size, unnest(string_split(nuc, '')) AS a, generate_subscripts(string_split(nuc, ''), 1) AS i FROM sequences),
+    ref_sites AS (SELECT unnest(string_split(ref, '')) AS b, generate_subscripts(string_split(ref, ''), 1) AS i FROM ref),
+    counted AS (SELECT id, max(size) AS size, count(*) FILTER (WHERE a IN ('A','C','G','T') AND b IN ('A','C','G','T')) AS n, count(*) FILTER (WHERE a IN ('A','C','G','T') AND b IN ('A','C','G','T') AND a <> b) AS d
+      FROM left_sites LEFT JOIN ref_sites USING (i) GROUP BY 1)
+    SELECT s.id, CASE WHEN n > 0 AND n >= 0.5 * greatest(size, (SELECT length(ref) FROM ref)) THEN round(d * 1.0 / n, 9) END AS distance FROM sequences s LEFT JOIN counted USING (id)"""
 )
 def p_distance(spark, sf_dir):
-    cut = _sequences(spark, sf_dir).where("length(nuc) >= 24").select("id", F.substring("nuc", 1, 24).alias("nuc"))
-    reference = cut.agg(F.min_by("nuc", "id").alias("ref"))  # one row
-    both = cut.join(F.broadcast(reference))
+    rows = _sequences(spark, sf_dir)
+    reference = rows.agg(F.min_by("nuc", "id").alias("ref"))  # one row
+    both = rows.join(F.broadcast(reference))
     return both.select("id", F.round(names.p_distance(F.col("nuc"), F.col("ref"), least=0.5), 9).alias("distance"))
 
 
@@ -197,9 +206,7 @@ def wrap_longitude(spark, sf_dir):
     return standins.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), names.wrapped_longitude(turned, F.lit(150.0)).alias("longitude"))
 
 
-@query("SELECT key, row_number() OVER (ORDER BY n) AS place FROM (SELECT 'id ' || CAST(s_suppkey * 7 % 1009 AS VARCHAR) AS key, s_suppkey * 7 % 1009 AS n FROM supplier WHERE s_suppkey < 100)")
+@query("SELECT key, row_number() OVER (ORDER BY n) AS place FROM (SELECT 'id ' || CAST(s_suppkey * 7 % 1009 AS VARCHAR) AS key, s_suppkey * 7 % 1009 AS n FROM supplier)")
 def natural_order(spark, sf_dir):
-    from pyspark.sql import Window
-
-    keys = standins.table(spark, sf_dir, "supplier").where("s_suppkey < 100").select(F.concat(F.lit("id "), (F.col("s_suppkey") * 7 % 1009).cast("string")).alias("key"))
-    return keys.select("key", F.row_number().over(Window.orderBy(names.natural(F.col("key")))).alias("place"))
+    keys = standins.table(spark, sf_dir, "supplier").select(F.concat(F.lit("id "), (F.col("s_suppkey") * 7 % 1009).cast("string")).alias("key"))
+    return order.numbered(keys, [names.natural(F.col("key"))])

@@ -14,16 +14,15 @@ from .titres import CELLS
 CLOCK = """
 points AS (
   SELECT o_orderkey AS id, o_orderpriority AS grp, (CAST(o_orderdate AS DATE) - DATE '1995-01-01') / 365.25 AS x,
-    (CAST(o_orderdate AS DATE) - DATE '1995-01-01') / 365.25 * 0.004 + o_custkey % 101 * 0.0001 + CASE WHEN o_orderkey % 211 = 0 THEN 0.2 ELSE 0 END AS y FROM orders WHERE o_orderkey % 7 = 1),
-used AS (SELECT * FROM points QUALIFY row_number() OVER (PARTITION BY grp ORDER BY id) <= 100000),
-slopes AS (SELECT a.grp, quantile_cont((b.y - a.y) / (b.x - a.x), 0.5) AS slope FROM used a JOIN used b ON a.grp = b.grp AND a.id < b.id AND a.x <> b.x GROUP BY 1),
+    (CAST(o_orderdate AS DATE) - DATE '1995-01-01') / 365.25 * 0.004 + o_custkey % 101 * 0.0001 + CASE WHEN o_orderkey % 211 = 0 THEN 0.2 ELSE 0 END AS y FROM orders),
+slopes AS (SELECT a.grp, quantile_cont((b.y - a.y) / (b.x - a.x), 0.5) AS slope FROM points a JOIN points b ON a.grp = b.grp AND a.id < b.id AND a.x <> b.x GROUP BY 1),
 lines AS (SELECT p.grp, slope, quantile_cont(y - slope * x, 0.5) AS intercept FROM points p JOIN slopes s USING (grp) GROUP BY 1, 2),
 fits AS (SELECT l.grp, l.slope, l.intercept, 1.4826 * quantile_cont(abs(y - l.slope * x - l.intercept), 0.5) AS scale FROM points p JOIN lines l USING (grp) GROUP BY 1, 2, 3)"""
 
 
 def _clock(spark, sf_dir):
     days = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1995-01-01").cast("date"))
-    rows = standins.table(spark, sf_dir, "orders").where("o_orderkey % 7 = 1").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("grp"), (days / 365.25).alias("x"), "o_custkey")
+    rows = standins.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("grp"), (days / 365.25).alias("x"), "o_custkey")
     y = F.col("x") * 0.004 + F.col("o_custkey") % 101 * 0.0001 + F.when(F.col("id") % 211 == 0, 0.2).otherwise(0.0)
     return rows.withColumn("y", y).drop("o_custkey")
 

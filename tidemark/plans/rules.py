@@ -20,7 +20,8 @@ RULES = "rules(rule_line, rule_status, rule_segment, rule_pattern, rule_value) A
 
 ROWS = """
 lines AS (
-  SELECT row_number() OVER () AS row_id, o_orderstatus AS status, c_mktsegment AS segment, p_name AS text
+  SELECT row_number() OVER () AS row_id, CASE WHEN l_orderkey % 11 <> 0 THEN o_orderstatus END AS status, CASE WHEN l_orderkey % 7 <> 0 THEN c_mktsegment END AS segment,
+    CASE WHEN l_partkey % 13 <> 0 THEN p_name END AS text
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey),
 hits AS (
   SELECT l.row_id, min(r.rule_line) AS rule_line FROM lines l LEFT JOIN rules r
@@ -32,13 +33,13 @@ def _matched(spark, sf_dir):
     read = lambda name: standins.table(spark, sf_dir, name)
     lines = read("lineitem").join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
     rows = lines.join(read("part"), F.col("l_partkey") == F.col("p_partkey")).select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("o_orderstatus").alias("status"), F.col("c_mktsegment").alias("segment"), F.col("p_name").alias("text")
+        "l_orderkey",
+        F.when(F.col("l_orderkey") % 11 != 0, F.col("o_orderstatus")).alias("status"),
+        F.when(F.col("l_orderkey") % 7 != 0, F.col("c_mktsegment")).alias("segment"),
+        F.when(F.col("l_partkey") % 13 != 0, F.col("p_name")).alias("text"),
     )
     table = spark.createDataFrame(LINES, "rule_line int, rule_status string, rule_segment string, rule_pattern string, rule_value string")
-    # the rules see each distinct (status, segment, text) once
-    scope = ["status", "segment", "text"]
-    decided = rules.first_match(rows.select(*scope).distinct(), table, ["status", "segment"], scope)
-    return rows.join(decided, scope), table
+    return rules.decided(rows, table, ["status", "segment"], ["status", "segment", "text"]), table
 
 
 @query(f"WITH {RULES}, {ROWS} SELECT rule_line, rule_value, count(*) AS n FROM hits LEFT JOIN rules USING (rule_line) GROUP BY 1, 2")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import serology
+from tidemark.operators import order, serology
 from tidemark.sources import standins
 
 from .registry import query
@@ -107,15 +107,13 @@ def suffix_assign(spark, sf_dir):
 
 
 @query(
-    f"""WITH {TABLES}, chosen AS (SELECT * FROM tables WHERE lab = '1' AND year(date) >= 2001),
+    f"""WITH {TABLES}, chosen AS (SELECT * FROM tables),
     published AS (SELECT table_id, row_number() OVER (ORDER BY table_id DESC) AS place FROM chosen WHERE table_id % 2 = 0)
     SELECT table_id, row_number() OVER (ORDER BY part, k1, k2, k3) AS place FROM (
       SELECT table_id, 0 AS part, place AS k1, 0 AS k2, 0 AS k3 FROM published
       UNION ALL SELECT table_id, 1, date - DATE '1970-01-01', coalesce(date_suffix, 0), table_id FROM chosen WHERE table_id % 2 = 1)"""
 )
 def append_order(spark, sf_dir):
-    from pyspark.sql import Window
-
-    chosen = _tables(spark, sf_dir).where("lab = '1' and year(date) >= 2001")
-    place = F.row_number().over(Window.orderBy(F.desc("table_id")))
-    return serology.append_order(chosen.where("table_id % 2 = 0").withColumn("place", place), chosen)
+    chosen = _tables(spark, sf_dir)
+    published = order.numbered(chosen.where("table_id % 2 = 0"), [-F.col("table_id")])
+    return serology.append_order(published, chosen)

@@ -97,12 +97,14 @@ def column_basis(spark, sf_dir):
 
 
 @query(
-    f"WITH {CELLS} SELECT b.serum, greatest(CASE WHEN b.serum % 3 = 0 THEN 9.5 ELSE b.basis END, 7.0) AS basis FROM bases b"
+    f"""WITH {CELLS} SELECT b.serum, CASE WHEN b.serum % 5 = 1 THEN 2.5 ELSE greatest(CASE WHEN b.serum % 3 = 0 THEN 6.5 ELSE b.basis END, 7.0) END AS basis FROM bases b"""
 )
 def column_basis_forced(spark, sf_dir):
     cells = _cells(spark, sf_dir)
-    forced = cells.select("serum").distinct().where("serum % 3 = 0").withColumn("forced_basis", F.lit(9.5))
-    return titres.column_basis(cells, "serum", minimum=7.0, forced=forced)
+    sera = cells.select("serum").distinct()
+    forced = sera.where("serum % 3 = 0").withColumn("forced_basis", F.lit(6.5))
+    fixed = sera.where("serum % 5 = 1").withColumn("fixed_basis", F.lit(2.5))
+    return titres.column_basis(cells, "serum", minimum=7.0, forced=forced, fixed=fixed)
 
 
 @query(f"WITH {CELLS} SELECT antigen, count(*) FILTER (WHERE kind = 'num') AS n_regular FROM final GROUP BY 1 HAVING n_regular < 3")

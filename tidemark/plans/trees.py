@@ -73,14 +73,14 @@ def cumulative_signature(spark, sf_dir):
 
 
 @query(
-    f"""WITH {NODES}, groups AS (SELECT node, node % 400 AS grp FROM leaves WHERE node % 400 < 300),
+    f"""WITH {NODES}, groups AS (SELECT node, node % 400 AS grp FROM leaves),
     above AS (SELECT grp, ancestor, count(*) AS covered, max(distance) AS height FROM groups JOIN pairs ON groups.node = descendant GROUP BY 1, 2),
     sizes AS (SELECT grp, count(*) AS size FROM groups GROUP BY 1),
     ok AS (SELECT grp, ancestor, row_number() OVER (PARTITION BY grp ORDER BY height, ancestor) AS r FROM above JOIN sizes USING (grp) WHERE covered = size)
     SELECT grp AS "group", ancestor AS mrca FROM ok WHERE r = 1"""
 )
 def mrca(spark, sf_dir):
-    groups = _leaves(spark, sf_dir).where("node % 400 < 300").select("node", (F.col("node") % 400).alias("group"))
+    groups = _leaves(spark, sf_dir).select("node", (F.col("node") % 400).alias("group"))
     return trees.mrca(_pairs(spark, sf_dir), groups)
 
 
@@ -162,7 +162,26 @@ def assign_clades(spark, sf_dir):
     return _assigned(spark, sf_dir)
 
 
-@query()
+MASK = "CASE WHEN bit_and(m) <> 0 THEN bit_and(m) ELSE bit_or(m) END"
+LOWEST = "CASE WHEN {m} & 1 > 0 THEN 0 WHEN {m} & 2 > 0 THEN 1 WHEN {m} & 4 > 0 THEN 2 WHEN {m} & 8 > 0 THEN 3 ELSE 4 END"
+
+
+def _level(name: str, below: str, above: str) -> str:
+    """The states of a level of the tree from its masks and the states above; `moved` counts the changes."""
+    own = LOWEST.format(m="x.m")
+    return f"""{name} AS (SELECT x.site, x.node, CASE WHEN (x.m >> a.state) & 1 = 1 THEN a.state ELSE {own} END AS state, CASE WHEN (x.m >> a.state) & 1 = 1 THEN 0 ELSE 1 END AS moved
+      FROM {below} x JOIN {above} a ON a.site = x.site AND a.node = x.parent)"""
+
+
+@query(
+    f"""WITH sites AS (SELECT unnest(range(1, 7)) AS site),
+    m3 AS (SELECT site, c_custkey AS node, 2000000 + c_nationkey AS parent, 1 << CAST((c_custkey // 60 + site) % 5 AS INTEGER) AS m FROM customer, sites),
+    m2 AS (SELECT s.site, 2000000 + n_nationkey AS node, 1000000 + n_regionkey AS parent, coalesce(g.m, 31) AS m FROM nation CROSS JOIN sites s LEFT JOIN (SELECT site, parent, {MASK} AS m FROM m3 GROUP BY 1, 2) g ON g.site = s.site AND g.parent = 2000000 + n_nationkey),
+    m1 AS (SELECT s.site, 1000000 + r_regionkey AS node, 3000000 AS parent, coalesce(g.m, 31) AS m FROM region CROSS JOIN sites s LEFT JOIN (SELECT site, parent, {MASK} AS m FROM m2 GROUP BY 1, 2) g ON g.site = s.site AND g.parent = 1000000 + r_regionkey),
+    m0 AS (SELECT site, {MASK} AS m FROM m1 GROUP BY 1),
+    s0 AS (SELECT site, 3000000 AS node, {LOWEST.format(m="m")} AS state, 0 AS moved FROM m0), {_level("s1", "m1", "s0")}, {_level("s2", "m2", "s1")}, {_level("s3", "m3", "s2")}
+    SELECT 'customers' AS tree, site, sum(moved) AS changes, count(*) AS n_nodes FROM (SELECT * FROM s0 UNION ALL SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3) GROUP BY 1, 2"""
+)
 def parsimony(spark, sf_dir):
     nodes = _nodes(spark, sf_dir)
     sites = F.explode(F.sequence(F.lit(1), F.lit(6))).alias("site")
@@ -172,9 +191,20 @@ def parsimony(spark, sf_dir):
     return trees.fitch(rows.withColumn("state", state)).groupBy("tree", "site").agg(F.max("changes").alias("changes"), F.count("*").alias("n_nodes"))
 
 
-@query()
+@query(
+    """WITH nations AS (SELECT n_regionkey AS tree, n_nationkey AS k, count(c_custkey) AS n FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY 1, 2),
+    placed AS (SELECT *, 1 + coalesce(sum(n + 1) OVER (PARTITION BY tree ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pre FROM nations)
+    SELECT r_regionkey AS tree, 0 AS pre, NULL AS parent, 'region ' || chr(39) || r_name || chr(39) AS name, NULL AS length FROM region
+    UNION ALL SELECT tree, pre, 0, 'n, (' || k || ')', 0.123456789 FROM placed
+    UNION ALL SELECT p.tree, p.pre + row_number() OVER (PARTITION BY p.tree, p.k ORDER BY c_custkey), p.pre, CASE WHEN c_custkey % 10 <> 0 THEN 'c' || c_custkey ELSE '' END, (c_custkey % 1000) / 1000.0 FROM customer JOIN placed p ON c_nationkey = p.k"""
+)
 def newick_round_trip(spark, sf_dir):
-    """Regions and nations as Newick text, and read again."""
-    inner = _nodes(spark, sf_dir).where("node >= 1000000")
-    rows = inner.select(F.lit(1).cast("long").alias("tree"), "node", "parent", F.concat(F.lit("n"), F.col("node").cast("string")).alias("name"), F.lit(0.5).alias("length"))
-    return trees.newick(trees.write_newick(rows)).select("pre", "parent", "name", "length")
+    """Each region with its nations and customers as Newick text, and read again."""
+    read = lambda name: standins.table(spark, sf_dir, name)
+    region = read("region").select(F.col("r_regionkey").cast("long").alias("tree"), (F.col("r_regionkey") + 1000000).cast("long").alias("node"), F.lit(None).cast("long").alias("parent"), F.concat(F.lit("region '"), "r_name", F.lit("'")).alias("name"), F.lit(None).cast("double").alias("length"))
+    nation = read("nation").select(F.col("n_regionkey").cast("long").alias("tree"), (F.col("n_nationkey") + 2000000).cast("long"), (F.col("n_regionkey") + 1000000).cast("long"), F.concat(F.lit("n, ("), F.col("n_nationkey").cast("string"), F.lit(")")), F.lit(0.123456789))
+    named = F.when(F.col("c_custkey") % 10 != 0, F.concat(F.lit("c"), F.col("c_custkey").cast("string"))).otherwise("")
+    lands = read("nation").select("n_nationkey", F.col("n_regionkey").cast("long").alias("tree"))
+    customer = read("customer").join(lands, F.col("c_nationkey") == F.col("n_nationkey")).select("tree", F.col("c_custkey").cast("long"), (F.col("c_nationkey") + 2000000).cast("long"), named, F.col("c_custkey") % 1000 / 1000.0)
+    rows = region.union(nation).union(customer)
+    return trees.newick(trees.write_newick(rows)).select("tree", "pre", "parent", "name", "length")

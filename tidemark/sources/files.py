@@ -74,8 +74,11 @@ def rule_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
     header = [c.strip() for c in (spark.read.text(path).first() or [""])[0].split("\t")]
     if sorted(header) != sorted(columns):
         raise ValueError(f"{path}: columns {header}, expected {list(columns)}")
-    rows = spark.read.option("sep", "\t").option("header", True).csv(path)
-    return rows.withColumn("rule_line", F.monotonically_increasing_id() + 1)
+    # a rule file is curated and small: one task reads it, so the order of the ids is that of the lines
+    lines = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("line", "text"))
+    lines = lines.where((F.col("line") > 0) & (F.trim("text") != ""))
+    cells = F.split("text", "\t")
+    return lines.select(*[F.trim(F.get(cells, F.lit(i))).alias(c) for i, c in enumerate(header)], F.col("line").alias("rule_line"))
 
 
 def text_dump(rows: DataFrame, key: str) -> DataFrame:
