@@ -137,6 +137,21 @@ def test_top_k_of_odd_vectors(spark):
     assert kdtree.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_huge_and_equal_vectors(spark, monkeypatch):
+    monkeypatch.setattr(kdtree, "SHARD", 40)
+    rng = random.Random(3)
+    rows = [(k, [rng.choice((1e30, -1e17, 3.0, 0.0, 2.5e9)) for _ in range(3)]) for k in range(60)]
+    rows += [(k, [1.0, 0.5, -0.25]) for k in range(60, 400)] + [(k, [rng.uniform(-1, 1) for _ in range(3)]) for k in range(400, 700)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = [(i, [int(np.floor(x * 64)) for x in v]) for i, v in rows]
+    expected = []
+    for i, q in exact:
+        if i % 20 == 0:
+            scored = sorted((-min(max(sum(a * b for a, b in zip(q, v)), -(2**63)), 2**63 - 1), j) for j, v in exact if j != i)[:20]
+            expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scored)]
+    assert sorted(map(tuple, kdtree.top_k(frame).collect())) == sorted(expected)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style></head><body><header><p>The site's own header, which is long enough to look like prose, but isn't.</p></header>
 <nav><ul><li><a href="/a">Menu</a></li></ul></nav><div id="cookie-notice"><p>We use cookies and say so at some length here.</p></div>
 <div class="wrap-{n}"><div class="post-{n} content"><h1>Head &amp; line {n}</h1><p>First paragraph of page {n} with
