@@ -35,15 +35,20 @@ _OWN_FOLDER: list[str] = []
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where a session has none (a test on one machine) is a temporary one
-    made and set.
+    A path without a scheme lies in the cluster's default file system.  Only a
+    session on one machine, as in tests, may have none and gets a temporary one.
     """
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not _OWN_FOLDER:
             _OWN_FOLDER.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         folder = _OWN_FOLDER[0]
-    return folder if "://" in folder or folder.startswith("file:") else "file://" + os.path.abspath(folder)
+    if "://" in folder or folder.startswith("file:"):
+        return folder
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.FileSystem.get(spark._jsc.hadoopConfiguration()).makeQualified(hadoop.Path(folder)).toString()
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -55,7 +60,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there."""
     path = work_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back.written_to = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written() tables that no later plan reads."""
+    for df in tables:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.written_to)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def salted_join(many: DataFrame, few: DataFrame, key: str, by: str, how: str = "inner", salts: int = 16) -> DataFrame:
+    """A join whose left side may have very many rows of one key: these go to `salts` tasks by the hash of column `by`.
+
+    `few` has a row per key and is repeated `salts` times.
+    """
+    salt = free_name("salt", many, few)
+    left = many.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    right = few.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [key, salt], how).drop(salt)
+
+
+def free_name(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, in any case of letters."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,9 +100,15 @@ def fold(key: Column, parts: int) -> Column:
     return (F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % parts).cast("int")
 
 
+#: Bytes of input, as stored, for which one task is meant.
+TASK_BYTES = 32 << 20
+
+
 def partitions(df: DataFrame) -> int:
-    """How many partitions a plan starts with; no job runs."""
-    return max(1, df.rdd.getNumPartitions())
+    """Tasks for work on a frame: its partitions, or more if these are few for its size; no job runs."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size < 1 << 60  # a frame made from local rows has no size
+    return max(1, df.rdd.getNumPartitions(), size // TASK_BYTES if known else 0)
 
 
 #: Rows that a worker turns into Python objects at once.

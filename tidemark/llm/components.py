@@ -60,7 +60,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Stars are made larger and smaller in turn until each node hangs on its
     root.  A node with very many links costs one minimum, summed per partition,
-    and its links stay spread.  Each round ends in a written table.
+    and its links meet it in several tasks.  Each round ends in a written table,
+    and the round before it is deleted.
     """
     spark = links.sparkSession
     stars = common.written(thinned(links), "stars")
@@ -68,11 +69,12 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # each node hangs its larger neighbours on its smallest one
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        large = common.salted_join(both.where("v > u"), least, "u", "v").select(F.col("m").alias("a"), F.col("v").alias("b"))
         down = common.written(thinned(large.where("a <> b")), "stars")
         smallest = down.groupBy("b").agg(F.min("a").alias("m"))
         small = down.join(smallest, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
         following = common.written(small, "stars")
+        common.discard(stars, down)
         # done when every link is from a root: nobody is at once above and below
         if following.select("a").distinct().join(following.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty() and following.groupBy("b").count().where("count > 1").isEmpty():
             stars = following

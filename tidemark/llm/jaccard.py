@@ -6,8 +6,8 @@
    n - ceil(0.75 n) + 1 shingles are its prefix: two nodes that link share a
    prefix shingle.  Nodes that share one are in one block, through any chain;
    most nodes share none and are finished.
-3. A block's nodes meet in one task, or, cut into chunks, in a task per pair of
-   chunks.  A tree over them holds in each node the OR of the shingle bitmaps
+3. A block's nodes meet in one task, or, cut into chunks by size class and hash,
+   in a task per pair of chunks whose sizes can match.  A tree over them holds in each node the OR of the shingle bitmaps
    below, the range of set sizes, and how many shingles a bitmap may hide.  A
    traversal of the tree against itself drops pairs of tree nodes whose sizes
    cannot match, whose largest possible overlap is too small, or that are
@@ -21,6 +21,7 @@ together.  Texts of one set are never paired.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +36,16 @@ from .components import LINKS, Forest, components
 from .storage import dump, dump_sorted, load, load_sorted, pack, read_file, slices, unpack, write_file
 
 #: Tokens in a batch; shingles in a chunk of a block: about.
-BATCH_TOKENS, CHUNK = 1_000_000, 500_000
+BATCH_TOKENS, CHUNK = 1_000_000, 60_000
+#: Bytes of the bitmaps of one signature tree's texts, at most.
+BITMAPS = 32 << 20
 #: Texts in a leaf of a signature tree, children of its nodes.
 LEAF, FANOUT = 8, 4
 #: A row is numbered by its batch and its place in it.
 PLACES = 22
 DOCS = "row long, doc_id long, text_hash long, n long, k1 long, k2 long"
 MESSAGE = "kind string, batch long, part int, keys binary, a binary"
-SETS = "block long, chunk int, node long, n long, tokens binary"
+SETS = "block long, class int, chunk int, node long, n long, tokens binary"
 
 
 def shingles(words: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -278,7 +281,7 @@ class SignatureTree:
         self.percent = percent
         sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
         bits = 256
-        while bits < 2 * sizes.max() and bits < 1 << 16:
+        while bits < 2 * sizes.max() and bits < 1 << 16 and bits // 4 * len(order) <= BITMAPS:
             bits *= 2
         self.bits = np.zeros((len(order), bits // 64), dtype=np.uint64)
         for row, tokens in enumerate(self.sets):
@@ -392,21 +395,29 @@ def _links(rows: DataFrame, keys: list[str], tasks: int, percent: int) -> DataFr
 
 
 def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """(rows, nodes): a row per document with its set's node, and the root of each node that links."""
+    """(rows, sets): a row per document with its set's key, and each set with its component's root."""
     spark = documents.sparkSession
     folder = common.work_dir(spark, "shingles")
     tasks = common.partitions(documents)
     bits = max(1, (max(4, tasks) - 1).bit_length())
     docs = common.written(tokenise(documents, folder, size), "documents")
-    sets = docs.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "text_hash")
+    sets = docs.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.min(first).alias("first"))
     sets = common.written(sets, "sets")
     nodes = sets.select("node")
 
     levels = frequencies(nodes, folder, tasks, bits, size)
     blocks = common.written(components(candidates(nodes, levels, folder, tasks, bits, size, percent)), "blocks")
     blocks = blocks.join(sets.select("node", "n"), "node").select("node", F.col("root").alias("block"), "n")
-    wide = blocks.groupBy("block").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
-    placed = blocks.join(wide, "block").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    # two sets can link only if their size classes are equal or next to each other
+    klass = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else F.col("n").cast("int")
+    blocks = blocks.withColumn("class", klass)
+    wide = blocks.groupBy("block").agg(F.sum("n").alias("shingles")).where(F.col("shingles") > CHUNK).select("block")
+    parts = blocks.join(wide, "block", "left_semi").groupBy("block", "class").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
+    several = blocks.join(wide, "block", "left_semi").join(parts, ["block", "class"])
+    several = several.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).select("node", "block", "class", "chunk")
+    alone = blocks.join(wide, "block", "left_anti").select("node", "block", F.lit(0).alias("class"), F.lit(0).alias("chunk"))
+    placed = alone.unionByName(several)
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in _held(batches).items():
@@ -414,32 +425,34 @@ def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[D
             of = np.argsort(rows["node"])
             ends = np.cumsum(own.counts)
             tokens = [own.tokens[e - c : e].astype("<u8").tobytes() for c, e in zip(own.counts.tolist(), ends.tolist())]
-            columns = [pa.array(rows["block"][of]), pa.array(rows["chunk"][of]), pa.array(own.nodes), pa.array(own.counts.astype(np.int64)), pa.array(tokens, pa.binary())]
-            yield pa.record_batch(columns, names=["block", "chunk", "node", "n", "tokens"])
+            columns = [*(pa.array(rows[c][of]) for c in ("block", "class", "chunk")), pa.array(own.nodes), pa.array(own.counts.astype(np.int64)), pa.array(tokens, pa.binary())]
+            yield pa.record_batch(columns, names=["block", "class", "chunk", "node", "n", "tokens"])
 
-    shipped = common.written(_by_batch(placed.select("node", "block", "chunk"), "node", tasks).mapInArrow(ship, SETS), "shipped")
+    shipped = common.written(_by_batch(placed, "node", tasks).mapInArrow(ship, SETS), "shipped")
+    # a chunk is named by its size class and number
+    shipped = shipped.withColumn("chunk", F.col("class") * F.lit(1 << 20) + F.col("chunk"))
     inner = shipped.withColumn("known", F.lit(None).cast("long"))
     links = common.written(_links(inner, ["block", "chunk"], 2 * tasks, percent), "links")
 
-    chunks = common.written(shipped.groupBy("block", "chunk").agg(F.count("*").alias("members")), "chunks")
+    chunks = common.written(shipped.groupBy("block", "class", "chunk").agg(F.count("*").alias("members")), "chunks")
     wide = chunks.groupBy("block").agg(F.count("*").alias("chunks")).where("chunks > 1")
     if not wide.isEmpty():
-        # every chunk against its block's first one, then what isn't one component yet
+        # the first chunk of each class against those of its class and the next one, then what isn't one component yet
         for first in (True, False):
             known = components(links)
             rows = shipped.join(wide.select("block"), "block").join(known.select("node", F.col("root").alias("known")), "node", "left")
             rows = common.written(rows, "cross")
             several = rows.groupBy("block").agg(F.count_distinct(F.coalesce("known", "node")).alias("parts")).where("parts > 1").select("block")
-            left, right = chunks.select("block", F.col("chunk").alias("i")), chunks.select("block", F.col("chunk").alias("j"))
-            pairs = left.join(right, "block").where("i < j").join(several, "block", "left_semi")
-            least = chunks.groupBy("block").agg(F.min("chunk").alias("lowest"))
-            pairs = pairs.join(least, "block").where(F.col("i") == F.col("lowest") if first else F.col("i") > F.col("lowest"))
+            left = chunks.select("block", F.col("class").alias("c"), F.col("chunk").alias("i"))
+            right = chunks.select("block", F.col("class").alias("d"), F.col("chunk").alias("j"))
+            pairs = left.join(right, "block").where("i < j and d <= c + 1").join(several, "block", "left_semi")
+            pairs = pairs.where(F.col("i") == F.col("c") * F.lit(1 << 20) if first else F.col("i") > F.col("c") * F.lit(1 << 20))
             ends = pairs.select("block", "i", "j", F.explode(F.array("i", "j")).alias("chunk"))
             meet = rows.join(ends, ["block", "chunk"])
             links = links.unionByName(common.written(_links(meet, ["block", "i", "j"], 2 * tasks, percent), "links"))
     roots = components(links)
-    keyed = docs.join(sets, ["k1", "k2", "n"], "left").select("row", "doc_id", "text_hash", "n", "node", "least")
-    return keyed, roots
+    rooted = sets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    return docs, rooted
 
 
 def join(documents: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
@@ -452,32 +465,35 @@ def join(documents: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame
     shingle and links with nothing; a null doc_id is never the smallest unless
     all are null; repeated rows link like any equal texts.  No rows give none.
     """
-    rows, roots = linked(documents, size=size, percent=percent)
-    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    least = named.where("node is not null").groupBy("root").agg(F.min("least").alias("component_id"))
-    found = named.join(least, "root", "left")
+    rows, sets = linked(documents, size=size, percent=percent)
+    least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = common.salted_join(sets, least, "root", "node").select("k1", "k2", "n", "component_id")
+    found = rows.join(named, ["k1", "k2", "n"], "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def keep_one(documents: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame:
     """Of each group of linked documents the row with the smallest doc_id; all others, columns as they are.
 
-    Rows are found again by doc_id and a hash of the text; of rows that agree
-    in both, one stays.
+    Null, empty and wordless texts link with nothing and stay.  A null doc_id
+    comes after all others.  Rows are found again by doc_id and a hash of the
+    text; of rows that agree in both, the one whose columns as JSON come first
+    stays.  Other columns may have any names and types.  No rows give none.
     """
-    rows, roots = linked(documents, size=size, percent=percent)
-    named = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "text_hash")
-    first = named.where("node is not null").groupBy("root").agg(F.min(order).alias("x")).select("x.doc_id", "x.text_hash")
-    kept = common.written(first.unionByName(named.where("node is null").select("doc_id", "text_hash")).distinct(), "kept")
+    rows, sets = linked(documents, size=size, percent=percent)
+    first = sets.groupBy("root").agg(F.min("first").alias("x")).select("x.doc_id", "x.text_hash")
+    kept = common.written(first.unionByName(rows.where("n = 0").select("doc_id", "text_hash")).distinct(), "kept")
     columns = documents.columns
-    hashed = documents.withColumn("__hash", F.xxhash64("text"))
-    match = hashed.doc_id.eqNullSafe(kept.doc_id) & (hashed["__hash"] == kept.text_hash)
-    stay = hashed.join(kept.hint("shuffle_hash"), match, "left_semi")
+    own = common.free_name("hash", documents, kept)
+    hashed = documents.withColumn(own, F.xxhash64("text"))
+    match = lambda left, right: left["doc_id"].eqNullSafe(right["doc_id"]) & (left[own] == right["text_hash"])
+    stay = hashed.join(kept.hint("shuffle_hash"), match(hashed, kept), "left_semi")
     repeats = rows.where("n > 0").groupBy("doc_id", "text_hash").count().where("count > 1")
     again = common.written(repeats.select("doc_id", "text_hash"), "repeats")
     if not again.isEmpty():
-        once = stay.join(again.hint("shuffle_hash"), stay.doc_id.eqNullSafe(again.doc_id) & (stay["__hash"] == again.text_hash), "left_anti")
-        twice = stay.join(again.hint("shuffle_hash"), stay.doc_id.eqNullSafe(again.doc_id) & (stay["__hash"] == again.text_hash), "left_semi")
-        stay = once.unionByName(twice.dropDuplicates(["doc_id", "__hash"]))
+        once = stay.join(again.hint("shuffle_hash"), match(stay, again), "left_anti")
+        twice = stay.join(again.hint("shuffle_hash"), match(stay, again), "left_semi")
+        whole = F.struct(*columns)
+        one = twice.groupBy("doc_id", own).agg(F.min_by(whole, F.to_json(whole)).alias("row")).select("row.*")
+        stay = once.select(*columns).unionByName(one)
     return stay.select(*columns)
