@@ -72,15 +72,15 @@ def discard(*tables: DataFrame) -> None:
         place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def salted_join(many: DataFrame, few: DataFrame, key: str, by: str, how: str = "inner", salts: int = 16) -> DataFrame:
+def salted_join(many: DataFrame, few: DataFrame, keys: list[str], by: str, salts: int = 16) -> DataFrame:
     """A join whose left side may have very many rows of one key: these go to `salts` tasks by the hash of column `by`.
 
-    `few` has a row per key and is repeated `salts` times.
+    `few` has a row per key and is repeated `salts` times, so it is never broadcast.
     """
     salt = free_name("salt", many, few)
     left = many.withColumn(salt, F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
     right = few.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, [key, salt], how).drop(salt)
+    return left.join(right.hint("merge"), [*keys, salt]).drop(salt)
 
 
 def free_name(name: str, *frames: DataFrame) -> str:

@@ -69,7 +69,7 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # each node hangs its larger neighbours on its smallest one
-        large = common.salted_join(both.where("v > u"), least, "u", "v").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        large = common.salted_join(both.where("v > u"), least, ["u"], "v").select(F.col("m").alias("a"), F.col("v").alias("b"))
         down = common.written(thinned(large.where("a <> b")), "stars")
         smallest = down.groupBy("b").agg(F.min("a").alias("m"))
         small = down.join(smallest, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()

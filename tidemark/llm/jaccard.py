@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common
@@ -412,12 +412,13 @@ def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[D
     # two sets can link only if their size classes are equal or next to each other
     klass = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) * (1 + 1e-9))).cast("int") if percent < 100 else F.col("n").cast("int")
     blocks = blocks.withColumn("class", klass)
-    wide = blocks.groupBy("block").agg(F.sum("n").alias("shingles")).where(F.col("shingles") > CHUNK).select("block")
-    parts = blocks.join(wide, "block", "left_semi").groupBy("block", "class").agg(F.ceil(F.sum("n") / CHUNK).cast("int").alias("chunks"))
-    several = blocks.join(wide, "block", "left_semi").join(parts, ["block", "class"])
-    several = several.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")).select("node", "block", "class", "chunk")
-    alone = blocks.join(wide, "block", "left_anti").select("node", "block", F.lit(0).alias("class"), F.lit(0).alias("chunk"))
-    placed = alone.unionByName(several)
+    sums = blocks.groupBy("block", "class").agg(F.sum("n").alias("shingles"))
+    wide = F.sum("shingles").over(Window.partitionBy("block")) > CHUNK  # a block has few classes
+    plan = sums.select("block", "class", F.when(wide, F.ceil(F.col("shingles") / CHUNK)).otherwise(0).cast("int").alias("chunks"))
+    some = F.col("chunks") > 0
+    placed = common.salted_join(blocks.select("node", "block", "class"), plan, ["block", "class"], "node")
+    chunk = F.pmod(F.xxhash64("node"), F.greatest("chunks", F.lit(1))).cast("int")
+    placed = placed.select("node", "block", F.when(some, F.col("class")).otherwise(0).alias("class"), F.when(some, chunk).otherwise(0).alias("chunk"))
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, rows in _held(batches).items():
@@ -440,7 +441,7 @@ def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[D
         # the first chunk of each class against those of its class and the next one, then what isn't one component yet
         for first in (True, False):
             known = components(links)
-            rows = shipped.join(wide.select("block"), "block").join(known.select("node", F.col("root").alias("known")), "node", "left")
+            rows = common.salted_join(shipped, wide.select("block"), ["block"], "node").join(known.select("node", F.col("root").alias("known")), "node", "left")
             rows = common.written(rows, "cross")
             several = rows.groupBy("block").agg(F.count_distinct(F.coalesce("known", "node")).alias("parts")).where("parts > 1").select("block")
             left = chunks.select("block", F.col("class").alias("c"), F.col("chunk").alias("i"))
@@ -467,7 +468,7 @@ def join(documents: DataFrame, *, size: int = 5, percent: int = 75) -> DataFrame
     """
     rows, sets = linked(documents, size=size, percent=percent)
     least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = common.salted_join(sets, least, "root", "node").select("k1", "k2", "n", "component_id")
+    named = common.salted_join(sets, least, ["root"], "node").select("k1", "k2", "n", "component_id")
     found = rows.join(named, ["k1", "k2", "n"], "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
