@@ -42,9 +42,9 @@ def clade_rows(spark, sf_dir):
 
 
 SHORT = """
-names AS (SELECT DISTINCT l_orderkey AS table_id, p_partkey AS name, p_name AS full, p_size % 3 AS isolate, '20' AS year FROM lineitem JOIN part ON l_partkey = p_partkey),
+names AS (SELECT DISTINCT l_orderkey AS table_id, p_partkey AS name, p_name AS whole, p_size % 3 AS isolate, '20' AS year FROM lineitem JOIN part ON l_partkey = p_partkey),
 short AS (SELECT o_orderkey AS short, o_orderkey AS table_id, CASE o_orderkey % 4 WHEN 0 THEN 'la-rge' WHEN 1 THEN 'sbt' WHEN 2 THEN 'm.e d' ELSE 'zz' END AS location, o_orderkey % 3 AS isolate, '20' AS year FROM orders),
-hits AS (SELECT short, name, starts_with(upper(replace(full, ' ', '')), l) AS begins, regexp_matches(upper(replace(full, ' ', '')), '^' || array_to_string(string_split(l, ''), '.*')) AS spread
+hits AS (SELECT short, name, starts_with(upper(replace(whole, ' ', '')), l) AS begins, regexp_matches(upper(replace(whole, ' ', '')), '^' || array_to_string(string_split(l, ''), '.*')) AS spread
   FROM (SELECT *, upper(replace(replace(replace(location, '-', ''), '.', ''), ' ', '')) AS l FROM short) s JOIN names n USING (table_id, isolate, year)),
 best AS (SELECT *, max(begins) OVER (PARTITION BY short) AS best FROM hits WHERE begins OR spread)"""
 

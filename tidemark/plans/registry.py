@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-MODULES = ("titres", "serology", "counting", "names", "rules", "matching", "trees", "control", "comparing", "numerics", "stores", "evidence", "styles", "scalars", "filters", "matcher", "joining")
+MODULES = ("titres", "serology", "counting", "names", "rules", "matching", "trees", "control", "comparing", "numerics", "stores", "evidence", "styles", "scalars", "filters", "matcher", "joining", "treework")
 
 
 def query(oracle: str | None = None) -> Callable[[Query], Query]:
