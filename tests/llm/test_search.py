@@ -173,6 +173,37 @@ def test_pages(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in got.values())
 
 
+def test_layout_words_around_an_article():
+    long = "words of an article that go on for a good while, and then some more of them"
+    comments = "<section class='comments'><article><p>" + "a long reader comment " * 40 + "</p></article></section>"
+    for page in (
+        f'<div class="layout with-sidebar"><article><h1>T</h1><p>{long}</p></article><div class="sidebar"><p>side</p></div></div>',
+        f'<article class="post comments-open"><h1>T</h1><p>{long}</p>{comments}</article>',
+        f'<div class="post no-comments"><h1>T</h1><p>{long}</p></div>',
+        f'<article><header class="entry-header"><h1>T</h1></header><p>{long}</p></article>',
+        f'<article><div class="entry-header"><h1>T</h1></div><p>{long}</p></article>',
+        f'<main><article><h1>T</h1><p>{long}</p></article>{comments}</main>',
+        "<div>" * 3000 + f"<article><h1>T</h1><p>{long}</p></article>" + "</div>" * 3000,
+        f'<div class="a b c d e1"><article><h1>T</h1><p>{long}</p></article></div>',
+    ):
+        assert pages.extract(page, None) == f"T\n\n{long}", page[:120]
+
+
+def test_extraction_follows_the_hosts_votes(spark, monkeypatch):
+    """Against the definition: per host the path with most votes, extracted by it where the page has it."""
+    monkeypatch.setattr(pages, "FILE_HOSTS", 2)
+    body = lambda kind, n: f'<html><body><div class="{kind}"><p>{"words of this one " * n}</p></div><div class="other"><p>{"another part here " * 9}</p></div></body></html>'
+    rows = [(k, f"http://h{k % 7}.net/{k}", body("content" if k % 3 else "thing", 4 + k % 11)) for k in range(120)]
+    votes = defaultdict(Counter)
+    for _, url, source in rows:
+        votes[pages.host_of(url)][pages.vote(source)[0]] += 1
+    got = {r["page_id"]: r["text"] for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)).collect()}
+    for k, url, source in rows:
+        ranked = votes[pages.host_of(url)].most_common(2)
+        if len(ranked) == 1 or ranked[0][1] > ranked[1][1]:
+            assert got[k] == pages.extract(source, ranked[0][0])
+
+
 def test_no_pages(spark):
     assert pages.main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
