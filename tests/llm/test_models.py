@@ -177,3 +177,29 @@ def test_katz_without_rows_or_training(spark, empty):
 def test_katz_beats_the_base(tables):
     rows = [r for r in katz.score(tables[0]).collect() if r["held_out"]]
     assert sum(r["score"] for r in rows) > 0.8 * sum(r["base_score"] for r in rows)
+
+
+def brute_score(model, text):
+    """The logistic of the weights of a text's distinct n-grams, each looked up by itself."""
+    spaced = "".join(c if ord(c) > 32 else " " for c in f" {text.lower()} ")
+    weights = dict(zip(model.codes.tolist(), model.weights.tolist()))
+    found = {int(toxicity.codes(np.array([ord(c) for c in spaced[k : k + n]], dtype="<u4"), n)[0]) for n in toxicity.ORDERS for k in range(len(spaced) - n + 1)}
+    return 1 / (1 + math.exp(-sum(weights.get(c, 0.0) for c in found) - model.bias))
+
+
+def test_toxicity_by_definition(tables):
+    documents, labels = tables
+    model = toxicity.train(documents, labels)
+    texts = [r["text"] or "" for r in documents.orderBy("doc_id").limit(25).collect()] + ["", "x", "ABC abc\u2028é"]
+    assert np.allclose(toxicity.Scorer(model)(texts), [brute_score(model, t) for t in texts])
+
+
+def test_labelled_sample_is_bounded(spark):
+    rows = [(1, "a" * 50, 0)] * 400 + [(1, "b", 1), (2, None, 0), (3, "c" * 80, 1), (4, "d" * 10, 1)]
+    documents = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (1, 0), (2, 0), (3, 1), (4, 1), (9, 1), (None, 1)], "doc_id long, toxic int")
+    sample, share = fit.labelled_sample(documents, labels, "toxic", 1000, 1, 10)
+    assert sorted(sample) == sorted([("a" * 50, 0), ("", 0), ("c" * 80, 1), ("d" * 10, 1)]) and share == 3 / 5
+    small, _ = fit.labelled_sample(documents, labels, "toxic", 1000, 1, 10, most_chars=70)
+    assert sum(len(t) for t, _ in small) <= 70 and ("", 0) in small
+    assert len(fit.labelled_sample(documents, labels, "toxic", 1000, 1, 1)[0]) <= 2

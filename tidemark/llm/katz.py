@@ -269,8 +269,9 @@ def score(documents: DataFrame, *, order: int = 2, folds: int = 10) -> DataFrame
     `documents` needs doc_id and text; other columns are not read.  Rows whose
     crc32(doc_id as text) is divisible by `folds` are held out of training.  A
     null text is empty: one end token.  A null doc_id counts as the text ''.
-    Repeated rows train and are scored one by one.  Without training rows all
-    tokens are unknown and have the probability 1.  No rows give none.
+    Repeated rows train and are scored one by one, equal texts alike.  A text of
+    any length is one row of a batch and scored whole.  Without training rows
+    all tokens are unknown and have the probability 1.  No rows give none.
     """
     return train(documents, common.work_dir(documents.sparkSession, "katz"), order=order, folds=folds)
 

@@ -209,7 +209,9 @@ def pack(documents: DataFrame, tokenizer: str, *, end_id: int = 2, size: int = 1
 
     `documents` needs doc_id and text; other columns are not read.  A null or
     empty text is one piece that holds the end id; a null doc_id is packed as
-    any other; rows with equal ids are packed one by one.  No rows give none.
+    any other; rows with equal ids are packed one by one, and which of equal
+    rows goes where is open.  A text of any length is encoded whole and cut.
+    No rows give none.
     """
     rows = common.written(pieces(documents, tokenizer, end_id, size), "pieces")
     counted = rows.groupBy("length").count().collect()  # at most `size` rows

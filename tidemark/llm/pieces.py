@@ -455,7 +455,9 @@ def round_trip(documents: DataFrame, path: str, *, seed: int = 7, dropout: float
 
     `documents` needs doc_id and text; other columns are not read.  A null or
     empty text has no ids and decodes to ''.  A null doc_id is keyed as 0, so
-    repeated rows get equal ids.  No rows give none.
+    repeated rows get equal ids; equal texts of different ids don't.  Of merges
+    with equal scores the leftmost comes first.  A text of any length is encoded
+    whole, a word of any length in time n log n.  No rows give none.
     """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -97,4 +97,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: SQL forms of the queries that have one; the others are tested against brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op4_jaccard_join": """WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words),
+sizes AS (SELECT doc_id, len(s) AS n FROM sets),
+shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS same FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * same >= 75 * (x.n + y.n - same)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.root FROM reach r JOIN both_ways l ON l.a = r.doc_id WHERE r.root <= l.b)
+SELECT s.doc_id, s.n AS n_shingles, min(r.root) AS component_id FROM sizes s JOIN reach r ON r.doc_id = s.doc_id GROUP BY 1, 2""",
+    "op5_kd_top_k": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, v.vec_id, CAST(list_sum(list_transform(list_zip(q.e, v.e), lambda p: p[1] * p[2])) AS BIGINT) AS score FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 20 = 0 AND len(q.e) = len(v.e)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20""",
+}

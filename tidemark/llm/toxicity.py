@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from . import common, fit
 
-ORDERS = (4, 5, 6)
+ORDERS = (3, 4, 5, 6)
 #: log2 of the number of n-gram codes.
 BITS = 20
 #: Training texts per class, at most.
@@ -26,9 +26,9 @@ PER_CLASS = 1500
 #: An n-gram must be in so many training texts.
 LEAST_TEXTS = 4
 #: N-grams that the classifier may use, at most.
-FEATURES = 8_000
+FEATURES = 20_000
 #: Standard deviations by which an n-gram's share of toxic texts must differ from theirs among all.
-LEAST_DEVIATIONS = 4.0
+LEAST_DEVIATIONS = 3.0
 #: A text group's characters, about.
 GROUP_CHARS = 500_000
 RIDGE = 3e-4
@@ -92,10 +92,12 @@ class Model:
     bias: float
 
 
-def fit_model(sample: list[tuple[str, int]], share: float) -> Model:
+def fit_model(sample: list[tuple[str, int]], share: float, features_most: int = FEATURES, least_texts: int = LEAST_TEXTS) -> Model:
     """Train on labelled texts; `share` is class 1's share of all training labels.
 
-    With one class or none the score is the share itself.
+    N-grams in fewer than `least_texts` texts, and all but the `features_most`
+    that tell the classes apart best, take no part.  With one class or none
+    the score is the share itself.
     """
     y = np.array([label for _, label in sample], dtype=float)
     prior = float(np.clip(share, 1e-3, 1 - 1e-3))
@@ -112,8 +114,8 @@ def fit_model(sample: list[tuple[str, int]], share: float) -> Model:
     ratio = np.log((p / p.sum()) / (q / q.sum()))
     half = y.mean()
     worth = np.abs(positive - texts * half) / np.sqrt(np.maximum(texts, 1) * half * (1 - half))
-    worth[texts < LEAST_TEXTS] = 0
-    chosen = np.sort(np.argsort(-worth, kind="stable")[:FEATURES])
+    worth[texts < least_texts] = 0
+    chosen = np.sort(np.argsort(-worth, kind="stable")[:features_most])
     chosen = chosen[worth[chosen] >= LEAST_DEVIATIONS]
     number = np.full(size, -1, dtype=np.int64)
     number[chosen] = np.arange(len(chosen))
@@ -152,10 +154,10 @@ class Scorer:
         return out
 
 
-def train(documents: DataFrame, labels: DataFrame, *, folds: int = 5, left_out: int = 0, per_class: int = PER_CLASS) -> Model:
-    """Fit on a bounded sample of the labelled rows outside the held-out fold."""
+def train(documents: DataFrame, labels: DataFrame, *, folds: int = 5, left_out: int = 0, per_class: int = PER_CLASS, features_most: int = FEATURES, least_texts: int = LEAST_TEXTS) -> Model:
+    """Fit on a bounded sample of the labelled rows outside the held-out fold (fit.labelled_sample)."""
     sample, share = fit.labelled_sample(documents, labels, "toxic", folds, left_out, per_class)
-    return fit_model(sample, share)
+    return fit_model(sample, share, features_most, least_texts)
 
 
 def score(documents: DataFrame, model: Model, *, folds: int = 5, left_out: int = 0) -> DataFrame:
@@ -163,7 +165,9 @@ def score(documents: DataFrame, model: Model, *, folds: int = 5, left_out: int =
 
     `documents` needs doc_id and text; other columns are not read.  A null or
     empty text has the score that the model gives to a text without n-grams.
-    Null ids and repeated rows are scored as any.  No rows give none.
+    Null ids and repeated rows are scored as any, equal texts alike.  A text of
+    any length is read whole, in memory that follows its length.  A score of
+    exactly 0.5 is toxic.  No rows give none.
     """
 
     def run(batches):
@@ -179,7 +183,11 @@ def score(documents: DataFrame, model: Model, *, folds: int = 5, left_out: int =
 
 
 def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
-    """The documents whose score is under the threshold, all columns as they are."""
+    """The documents whose score is under the threshold, all columns, of any name, as they are.
+
+    A null or empty text has the score of a text without n-grams; a score equal
+    to the threshold goes; repeated rows go or stay alike; no rows give none.
+    """
     at = documents.columns.index("text")
 
     def run(batches):
