@@ -29,7 +29,9 @@ RANKED_TOGETHER = 50_000
 
 
 def patterns(histogram: dict[int, int], size: int, most: int = 200_000) -> np.ndarray:
-    """Patterns of up to three present lengths that fill a sequence, as rows.
+    """Patterns of up to three present lengths that fill a sequence, as rows; of triples the `most` fullest.
+
+    What no pattern is fitted for is packed best-fit like all that is left over.
 
     Singles and exact pairs and triples; where an exact partner is missing,
     the longest present one that fits.  0 stands for no document.
@@ -213,18 +215,19 @@ def pack(documents: DataFrame, tokenizer: str, *, end_id: int = 2, size: int = 1
     rows goes where is open.  A text of any length is encoded whole and cut.
     No rows give none.
     """
-    rows = common.written(pieces(documents, tokenizer, end_id, size), "pieces")
+    # the written number tells equal rows apart, so that these too spread over the tasks that rank
+    rows = common.written(pieces(documents, tokenizer, end_id, size).withColumn("tie", F.monotonically_increasing_id()), "pieces")
     counted = rows.groupBy("length").count().collect()  # at most `size` rows
     histogram = {r["length"]: r["count"] for r in counted}
     where = intervals(plan(histogram, size))
 
     salts = max(64, sum(histogram.values()) // RANKED_TOGETHER)
     key = ("length", "salt")
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)))
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32", "tie"), F.lit(salts)))
     per_salt = salted.groupBy(*key).agg(F.count("*").alias("n"))
     before = Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     first = per_salt.select(*key, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    own = Window.partitionBy(*key).orderBy("doc_id", "piece", "ids_crc32")
+    own = Window.partitionBy(*key).orderBy("doc_id", "piece", "ids_crc32", "tie")
     ranked = salted.withColumn("at", F.row_number().over(own)).join(first, list(key))
     ranked = ranked.withColumn("rank", F.col("first") + F.col("at") - 1)
 
