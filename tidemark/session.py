@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -19,13 +18,21 @@ def session(name: str = "tidemark", master: str | None = None) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where a session has none, as in tests, a temporary folder of this machine."""
+    """spark.checkpoint.dir, in the cluster's default file system if it names none.
+
+    Only a session on one machine, as in tests, may have none and gets a temporary folder.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         if not _OWN:
             _OWN.append("file://" + tempfile.mkdtemp(prefix="tidemark-"))
         folder = _OWN[0]
-    return folder if ":" in folder else "file://" + os.path.abspath(folder)
+    if ":" in folder:
+        return folder
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    return hadoop.FileSystem.get(spark._jsc.hadoopConfiguration()).makeQualified(hadoop.Path(folder)).toString()
 
 
 def settled(df: DataFrame, name: str = "settled") -> DataFrame:
