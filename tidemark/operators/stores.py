@@ -72,7 +72,7 @@ def publish(rows: DataFrame, root: str, partition: Sequence[str], columns: Seque
         changed.write.mode("overwrite").partitionBy(*partition).parquet(folder)
     entries = [{"key": list(k), "stamp": v, "folder": folder if k in fresh else had[k]["folder"]} for k, v in found.items()]
     number = current["number"] + 1 if current else 0
-    body = {"version": version, "number": number, "schema": rows.schema.json(), "partitions": entries}
+    body = {"version": version, "number": number, "schema": rows.schema.json(), "keys": list(partition), "partitions": entries}
     place, files = _place(spark, f"{root}/manifests/{number:09d}.json")
     stream = files.create(place, False)
     stream.write(bytearray(json.dumps(body).encode()))
