@@ -110,5 +110,4 @@ def map_relax(spark, sf_dir):
 def grid_test(spark, sf_dir):
     problem = _problem(spark, sf_dir)
     stress, layout = min((numerics.relax(problem, k) for k in range(4)), key=lambda r: r[0])
-    rows = numerics.grid_test(problem, layout, 0.25)
-    return spark.createDataFrame([(p, state) for p, state, _ in rows], "point int, state string")
+    return numerics.grid_test(numerics.map_terms(spark, problem, layout)).select("point", "state")
