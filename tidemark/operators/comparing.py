@@ -55,6 +55,23 @@ def procrustes(points: DataFrame, *by: str) -> DataFrame:
     return s.select(*by, "n", reflect.alias("reflected"), F.round(F.degrees(angle), 6).alias("degrees"), F.round(F.sqrt(left), 6).alias("rmsd"))
 
 
+def oriented(points: DataFrame, least: int, margin: float) -> DataFrame:
+    """How a layout (u, v) is turned onto a reference (x, y) of common points, or why not: too few of them, or a reflection that gains too little to be sure.
+
+    The margin is the least difference of the two RMSDs, with and without reflection.
+    """
+    s = _sums(points, ())
+    size = lambda c, d: F.sqrt(c * c + d * d)
+    plain = size(F.col("s_xu") + F.col("s_yv"), F.col("s_yu") - F.col("s_xv"))
+    mirrored = size(F.col("s_xu") - F.col("s_yv"), F.col("s_yu") + F.col("s_xv"))
+    spread = F.col("v_x") + F.col("v_y") + F.col("v_u") + F.col("v_v")
+    rmsd = lambda m: F.sqrt(F.greatest(F.lit(0.0), spread - 2 * m))
+    gain = F.abs(rmsd(plain) - rmsd(mirrored))
+    state = F.when(F.col("n") < least, "too few points").when(gain < margin, "reflection unclear").otherwise("oriented")
+    both = procrustes(points).join(F.broadcast(s.select(state.alias("state"), F.round(gain, 6).alias("margin"))))  # a row each
+    return both.select("n", "state", "margin", *[F.when(F.col("state") == "oriented", F.col(c)).alias(c) for c in ("reflected", "degrees", "rmsd")])
+
+
 def moved(points: DataFrame, *by: str) -> DataFrame:
     """Distance between a point's two positions, largest first per group."""
     return points.withColumn("distance", F.round(F.sqrt(F.pow(F.col("x") - F.col("u"), 2) + F.pow(F.col("y") - F.col("v"), 2)), 9))

@@ -196,7 +196,11 @@ def relax(problem: Problem, seed: int, dimensions: int = 2, rounds: int = 300) -
     """One seeded start: L-BFGS with backtracking from a random layout of the targets' size."""
     rng = np.random.default_rng(seed)
     size = max(1.0, float(problem.target.max(initial=1.0)))
-    layout = rng.uniform(-size, size, (problem.antigens + problem.sera, dimensions))
+    return descended(problem, rng.uniform(-size, size, (problem.antigens + problem.sera, dimensions)), rounds)
+
+
+def descended(problem: Problem, layout: np.ndarray, rounds: int = 300, tolerance: float = 1e-9) -> tuple[float, np.ndarray]:
+    """The layout that L-BFGS with backtracking reaches from a given one, centred."""
     value, gradient = problem.stress(layout)
     memory: list[tuple[np.ndarray, np.ndarray]] = []
     for _ in range(rounds):
@@ -222,7 +226,7 @@ def relax(problem: Problem, seed: int, dimensions: int = 2, rounds: int = 300) -
         value, gradient = new_value, new_gradient
         if (s * y).sum() > 1e-12:
             memory = [*memory[-7:], (s, y)]
-        if better < 1e-9 * max(1.0, value):
+        if better < tolerance * max(1.0, value):
             break
     return value, layout - layout.mean(axis=0)
 
@@ -245,6 +249,36 @@ def map_relax(spark: SparkSession, problem: Problem, starts: int, keep: int, fir
     return best
 
 
+def refined(maps: DataFrame, problem: Problem, rounds: int = 2000, tolerance: float = 1e-13) -> DataFrame:
+    """The maps (start, layout) brought closer to their minima, best first; a map depends on its own start alone."""
+    points = problem.antigens + problem.sera
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(start, *descended(problem, np.array(layout).reshape(points, -1), rounds, tolerance)) for start, layout in zip(batch["start"], batch["layout"])]
+            yield pd.DataFrame([(k, v, x.ravel().tolist()) for k, v, x in found], columns=["start", "stress", "layout"])
+
+    return maps.select("start", "layout").mapInPandas(run, "start long, stress double, layout array<double>").orderBy("stress", "start")
+
+
+def untrapped(spark: SparkSession, problem: Problem, layout: np.ndarray, most: int = 20, step: float = 0.25) -> tuple[float, np.ndarray, int]:
+    """(stress, layout, rounds) after moving trapped points to their better places and descending again, while that helps.
+
+    Each round tries all points on executors; what moves is accepted only if the stress falls.
+    """
+    value = problem.stress(layout)[0]
+    for done in range(most):
+        found = grid_test(map_terms(spark, problem, layout), step).where("state = 'trapped'").select("point", "x", "y").collect()  # at most a map's points
+        moved = layout.copy()
+        for r in found:
+            moved[r["point"]] = r["x"], r["y"]
+        new_value, moved = descended(problem, moved)
+        if not found or new_value >= value - 1e-9:
+            return value, layout, done
+        value, layout = new_value, moved
+    return value, layout, most
+
+
 #: A place is better if it lowers a point's stress by more than BETTER; places farther than FAR count for hemisphering.
 BETTER, FAR, CELLS = 0.25, 1.0, 4096
 
@@ -256,8 +290,8 @@ def point_stress(places: np.ndarray, partners: np.ndarray, target: np.ndarray, l
     return np.where(less, x * x / (1 + np.exp(np.clip(-10 * x, -500, 500))), (d - target) ** 2).sum(1)
 
 
-def point_state(place: np.ndarray, partners: np.ndarray, target: np.ndarray, less: np.ndarray, step: float) -> tuple[str, float, float]:
-    """(state, distance, change) of a point tried on a grid over its partners' box, each with its target around.
+def point_state(place: np.ndarray, partners: np.ndarray, target: np.ndarray, less: np.ndarray, step: float) -> tuple[str, float, float, np.ndarray]:
+    """(state, distance, change, place) of a point tried on a grid over its partners' box, each with its target around.
 
     trapped: the best place lowers the point's stress by more than 0.25;
     hemisphering: none does, but one more than a unit away comes within 0.5 of
@@ -282,12 +316,12 @@ def point_state(place: np.ndarray, partners: np.ndarray, target: np.ndarray, les
                     best = (float(values[k]), cells[k])
     for state, (cost, cell), limit in (("trapped", best, here - BETTER), ("hemisphering", far, here + 2 * BETTER)):
         if cost < limit:
-            return state, float(np.linalg.norm(cell - place)), cost - here
-    return "normal", 0.0, 0.0
+            return state, float(np.linalg.norm(cell - place)), cost - here, cell
+    return "normal", 0.0, 0.0, place
 
 
 def grid_test(terms: DataFrame, step: float = 0.25) -> DataFrame:
-    """(point, state, distance, change) of every point of a map, a group of its terms each.
+    """(point, state, distance, change) of every point of a map, and the place (x, y) that says so, a group of its terms each.
 
     terms: point, its place x and y, and per partner px, py, target and less.
     """
@@ -295,9 +329,9 @@ def grid_test(terms: DataFrame, step: float = 0.25) -> DataFrame:
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         place = rows[["x", "y"]].to_numpy()[0]
         state = point_state(place, rows[["px", "py"]].to_numpy(), rows["target"].to_numpy(), rows["less"].to_numpy(), step)
-        return pd.DataFrame([(int(rows["point"].iloc[0]), *state)], columns=["point", "state", "distance", "change"])
+        return pd.DataFrame([(int(rows["point"].iloc[0]), *state[:3], *state[3])], columns=["point", "state", "distance", "change", "x", "y"])
 
-    return terms.groupBy("point").applyInPandas(run, "point long, state string, distance double, change double")
+    return terms.groupBy("point").applyInPandas(run, "point long, state string, distance double, change double, x double, y double")
 
 
 def map_terms(spark: SparkSession, problem: Problem, layout: np.ndarray) -> DataFrame:

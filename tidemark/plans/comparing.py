@@ -63,6 +63,18 @@ def procrustes_by_group(spark, sf_dir):
     return comparing.procrustes(_points(spark, sf_dir), "label")
 
 
+@query(
+    f"""WITH {POINTS}, sums AS (SELECT count(*) AS n, covar_pop(x, u) AS xu, covar_pop(x, v) AS xv, covar_pop(y, u) AS yu, covar_pop(y, v) AS yv, var_pop(x) + var_pop(y) + var_pop(u) + var_pop(v) AS spread FROM points),
+    fit AS (SELECT *, sqrt((xu + yv) * (xu + yv) + (yu - xv) * (yu - xv)) AS p, sqrt((xu - yv) * (xu - yv) + (yu + xv) * (yu + xv)) AS m FROM sums),
+    r AS (SELECT *, abs(sqrt(greatest(0.0, spread - 2 * p)) - sqrt(greatest(0.0, spread - 2 * m))) AS gain FROM fit)
+    SELECT n, CASE WHEN n < 10 THEN 'too few points' WHEN gain < 0.01 THEN 'reflection unclear' ELSE 'oriented' END AS state, round(gain, 6) AS margin,
+    CASE WHEN n >= 10 AND gain >= 0.01 THEN m > p + 1e-12 END AS reflected, CASE WHEN n >= 10 AND gain >= 0.01 THEN round(degrees(CASE WHEN m > p + 1e-12 THEN atan2(yu + xv, xu - yv) ELSE atan2(yu - xv, xu + yv) END), 6) END AS degrees,
+    CASE WHEN n >= 10 AND gain >= 0.01 THEN round(sqrt(greatest(0.0, spread - 2 * greatest(p, m))), 6) END AS rmsd FROM r"""
+)
+def map_oriented(spark, sf_dir):
+    return comparing.oriented(_points(spark, sf_dir), 10, 0.01)
+
+
 BULK = """
 whole AS (SELECT vec_id, x, y, CASE WHEN vec_id % 11 = 0 THEN u + 4 ELSE u END AS u, CASE WHEN vec_id % 11 = 0 THEN v - 2 ELSE v END AS v FROM points),
 sums AS (SELECT count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(u) AS mu, avg(v) AS mv, covar_pop(x, u) AS xu, covar_pop(x, v) AS xv, covar_pop(y, u) AS yu, covar_pop(y, v) AS yv,
