@@ -203,3 +203,14 @@ def test_labelled_sample_is_bounded(spark):
     small, _ = fit.labelled_sample(documents, labels, "toxic", 1000, 1, 10, most_chars=70)
     assert sum(len(t) for t, _ in small) <= 70 and ("", 0) in small
     assert len(fit.labelled_sample(documents, labels, "toxic", 1000, 1, 1)[0]) <= 2
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_stored_tables_score_other_texts(spark, documents, odd, order):
+    folder = common.work_dir(spark, "stored")
+    trained = {(r["doc_id"]): (r["n_tokens"], r["n_known"], round(r["score"], 9)) for r in katz.train(documents.repartition(3), folder, order=order, folds=10).collect()}
+    again = {(r["doc_id"]): (r["n_tokens"], r["n_known"], round(r["score"], 9)) for r in katz.score_stored(documents.repartition(2), folder).collect()}
+    assert again == trained
+    scored = katz.score_stored(odd, folder).collect()
+    assert len(scored) == odd.count() and all(r["held_out"] and r["score"] <= 0 for r in scored)
+    assert katz.score_stored(odd.limit(0), folder).count() == 0

@@ -22,6 +22,7 @@ executors.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -277,7 +278,7 @@ def score(documents: DataFrame, *, order: int = 2, folds: int = 10) -> DataFrame
 
 
 def train(documents: DataFrame, folder: str, *, order: int, folds: int) -> DataFrame:
-    """As score(); the model's tables stay under `folder`."""
+    """As score(); the model's tables stay under `folder`, and score_stored() scores other texts by them."""
     spark = documents.sparkSession
     files, tasks = Files(f"{folder}/batches"), common.partitions(documents)
     bits = max(1, (max(4, tasks) - 1).bit_length())
@@ -296,14 +297,12 @@ def train(documents: DataFrame, folder: str, *, order: int, folds: int) -> DataF
         return np.where(counts > 0, discounted(counts, d1) / z, unknown)
 
     def ended(batch: Batch, at_token: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-        size = len(batch.lengths)
-        own = counts[batch.words].astype(float)
-        base = np.log10((own + 0.1) / (total + 0.1 * (distinct + 1)))
-        per_doc = [np.bincount(batch.doc, weights=w, minlength=size) for w in (own > 0, base, np.log10(at_token))]
-        columns = [pa.array(batch.doc_ids, mask=batch.nulls.astype(bool)), pa.array(~batch.train)]
-        columns += [pa.array(batch.lengths), pa.array(per_doc[0].astype(np.int64))]
-        columns += [pa.array(np.full(size, int(total), dtype=np.int64)), pa.array(per_doc[1]), pa.array(per_doc[2])]
-        return pa.record_batch(columns, names=[c.split()[0] for c in SCORES.split(", ")])
+        return _scored(batch, at_token, counts, total, distinct)
+
+    def described() -> None:
+        """What the tables need beside themselves to score other texts."""
+        facts = {"order": order, "bits": bits, "total": total, "distinct": distinct, "z": z, "unknown": unknown, "discounts": [x.tolist() for x in d]}
+        write_file(f"{folder}/model.json", json.dumps(facts).encode())
 
     if order == 1:
 
@@ -311,6 +310,7 @@ def train(documents: DataFrame, folder: str, *, order: int, folds: int) -> DataF
             batch = Batch(files, number)
             return ended(batch, unigram(columns[0])[batch.words], columns[0])
 
+        described()
         return _per_batch(replies, tasks, only, SCORES)
 
     def begin(number: int, columns: list[np.ndarray]) -> pa.RecordBatch:
@@ -357,6 +357,98 @@ def train(documents: DataFrame, folder: str, *, order: int, folds: int) -> DataF
             return _grams(batch, k + 1, bits)
 
         messages = _per_batch(weighed, tasks, evaluate, SCORES if k == order else MESSAGE)
+    described()
+    return messages
+
+
+def _scored(batch: Batch, at_token: np.ndarray, counts: np.ndarray, total: float, distinct: float) -> pa.RecordBatch:
+    """A batch's rows of SCORES from its tokens' probabilities and its words' training counts."""
+    size = len(batch.lengths)
+    own = counts[batch.words].astype(float)
+    base = np.log10((own + 0.1) / (total + 0.1 * (distinct + 1)))
+    per_doc = [np.bincount(batch.doc, weights=w, minlength=size) for w in (own > 0, base, np.log10(at_token))]
+    columns = [pa.array(batch.doc_ids, mask=batch.nulls.astype(bool)), pa.array(~batch.train)]
+    columns += [pa.array(batch.lengths), pa.array(per_doc[0].astype(np.int64))]
+    columns += [pa.array(np.full(size, int(total), dtype=np.int64)), pa.array(per_doc[1]), pa.array(per_doc[2])]
+    return pa.record_batch(columns, names=[c.split()[0] for c in SCORES.split(", ")])
+
+
+def _asked(messages: DataFrame, bits: int, path: str, missing: tuple[float, ...]) -> DataFrame:
+    """Replies from a stored table: each part's rows meet the batches' keys there; a key that it lacks has the values `missing`."""
+    nothing = F.lit(None).cast("binary")
+    asks = messages.select("batch", "part", "keys", nothing.alias("a"), nothing.alias("b"))
+    stored = messages.sparkSession.read.schema(REPLY).parquet(path).where("kind = 'model'").select(F.lit(-1).cast("long").alias("batch"), "part", "keys", "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[dict]] = {}
+        for rows in batches:
+            for row in rows.to_pylist():
+                held.setdefault(row["part"], []).append(row)
+        for part, rows in held.items():
+            table = next((r for r in rows if r["batch"] < 0), None)
+            known = load_sorted(table["keys"]) if table else np.empty(0, np.uint64)
+            values = [load(table[c]) if table else np.empty(0) for c in "ab"[: len(missing)]]
+            out = []
+            for row in rows:
+                if row["batch"] >= 0:
+                    keys = load_sorted(row["keys"])
+                    at = np.minimum(np.searchsorted(known, keys), max(0, len(known) - 1))
+                    hit = known[at] == keys if len(known) else np.zeros(len(keys), dtype=bool)
+                    sent = [np.full(len(keys), m, dtype=v.dtype if len(v) else float) for m, v in zip(missing, values)]
+                    for column, v in zip(sent, values):
+                        column[hit] = v[at[hit]]
+                    blobs = [dump(c) for c in sent] + [None]
+                    out.append(("reply", row["batch"], part, None, blobs[0], blobs[1], None))
+            if out:
+                kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.float64()))
+                yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out), kinds)], names=["kind", "batch", "part", "keys", "a", "b", "stats"])
+
+    return common.written(asks.unionByName(stored).repartitionById(1 << bits, "part").mapInArrow(run, REPLY), "replies")
+
+
+def score_stored(documents: DataFrame, folder: str) -> DataFrame:
+    """The rows of SCORES for other texts, from the tables that train() left under `folder`; nothing is learned from them.
+
+    As score(): the same text has the same score.  `held_out` is true.
+    """
+    facts = json.loads(bytes(read_file(f"{folder}/model.json")))
+    order, bits, total, distinct, d = facts["order"], facts["bits"], facts["total"], facts["distinct"], [np.array(x) for x in facts["discounts"]]
+    files, tasks = Files(common.work_dir(documents.sparkSession, "katz-new")), common.partitions(documents)
+
+    def unigram(counts: np.ndarray) -> np.ndarray:
+        return np.where(counts > 0, discounted(counts, d[0]) / facts["z"], facts["unknown"])
+
+    # with one fold every row is held out
+    replies = _asked(tokenise(documents, files, 1, bits), bits, f"{folder}/order-1", (0,))
+
+    def words(number: int, columns: list[np.ndarray]) -> pa.RecordBatch:
+        batch = Batch(files, number)
+        p = unigram(columns[0])[batch.words]
+        files.put(number, "words", {"counts": dump(columns[0])})
+        files.put(number, "order-1", {"p": dump(p)})
+        return _scored(batch, p, columns[0], total, distinct) if order == 1 else _grams(batch, 2, bits)
+
+    messages = _per_batch(replies, tasks, words, SCORES if order == 1 else MESSAGE)
+    for k in range(2, order + 1):
+
+        def contexts(number: int, columns: list[np.ndarray], k: int = k) -> pa.RecordBatch:
+            files.put(number, f"counts-{k}", {"counts": dump(columns[0])})
+            return _messages(number, np.unique(Batch(files, number).keys(k)[1]), bits)
+
+        def evaluate(number: int, columns: list[np.ndarray], k: int = k) -> pa.RecordBatch:
+            batch = Batch(files, number)
+            keys, context = batch.keys(k)
+            counts = load(files.get(number, f"counts-{k}")["counts"])[np.unique(keys, return_inverse=True)[1]]
+            where = np.unique(context, return_inverse=True)[1]
+            lower = load(files.get(number, f"order-{k - 1}")["p"])
+            p = np.where(counts > 0, discounted(counts, d[k - 1]) / columns[0][where], columns[1][where] * lower)
+            if k == order:
+                return _scored(batch, p, load(files.get(number, "words")["counts"]), total, distinct)
+            files.put(number, f"order-{k}", {"p": dump(p)})
+            return _grams(batch, k + 1, bits)
+
+        counted = _per_batch(_asked(messages, bits, f"{folder}/order-{k}", (0,)), tasks, contexts, MESSAGE)
+        messages = _per_batch(_asked(counted, bits, f"{folder}/contexts-{k}", (1.0, 1.0)), tasks, evaluate, SCORES if k == order else MESSAGE)
     return messages
 
 
