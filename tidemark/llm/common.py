@@ -106,9 +106,20 @@ TASK_BYTES = 32 << 20
 
 def partitions(df: DataFrame) -> int:
     """Tasks for work on a frame: its partitions, or more if these are few for its size; no job runs."""
+    return max(1, df.rdd.getNumPartitions(), (stored_bytes(df) or 0) // TASK_BYTES)
+
+
+def stored_bytes(df: DataFrame) -> int | None:
+    """Bytes of a frame's input by the plan's statistics; None for one made from local rows."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    known = size < 1 << 60  # a frame made from local rows has no size
-    return max(1, df.rdd.getNumPartitions(), size // TASK_BYTES if known else 0)
+    return size if size < 1 << 60 else None
+
+
+def key_bits(df: DataFrame, each: int = 4 << 20) -> int:
+    """log2 of the parts that keys of a frame are dealt to: one for each `each` bytes of input, 4 a task at most."""
+    tasks = partitions(df)
+    size = stored_bytes(df)
+    return max(2, (max(4, 4 * tasks if size is None else min(4 * tasks, size // each)) - 1).bit_length())
 
 
 #: Rows that a worker turns into Python objects at once.
@@ -126,12 +137,13 @@ def resident(key, make: Callable):
 
 
 def release() -> None:
-    """Give a worker's kept memory back to the machine; workers serve one operator after another."""
+    """Give a worker's kept memory back to the machine; workers serve one operator and one stage after another."""
     if _RESIDENT:
         _RESIDENT.clear()
         gc.collect()
-        with contextlib.suppress(OSError, AttributeError):
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
 def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from .components import LINKS, Forest, components
 from .storage import dump, dump_sorted, load, load_sorted, pack, read_file, slices, unpack, write_file
 
 #: Tokens in a batch; shingles in a chunk of a block: about.
-BATCH_TOKENS, CHUNK = 1_000_000, 60_000
+BATCH_TOKENS, CHUNK = 500_000, 60_000
 #: Bytes of the bitmaps of one signature tree's texts, at most.
 BITMAPS = 32 << 20
 #: Texts in a leaf of a signature tree, children of its nodes.
@@ -187,12 +187,14 @@ def frequencies(nodes: DataFrame, folder: str, tasks: int, bits: int, size: int)
     """To each batch, in the order of its distinct coarse shingles: 0 for one in a single node, else 1 + log2."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for number, rows in _held(batches).items():
             sets = Batch(folder, number, rows["node"] & ((1 << PLACES) - 1), size)
             keys, times = np.unique(_coarse(sets.tokens), return_counts=True)
             yield _message("count", number, [(p, dump_sorted(keys[a:b] >> np.uint64(COARSE)), dump(times[a:b].astype(np.uint32))) for p, a, b in slices(keys, bits)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         held: dict[int, list[dict]] = {}
         for batch in batches:
             for row in batch.to_pylist():
@@ -228,6 +230,7 @@ def candidates(nodes: DataFrame, levels: DataFrame, folder: str, tasks: int, bit
     wanted = nodes.select("node", F.shiftright("node", PLACES).alias("batch"), F.lit(None).cast("int").alias("part"), F.lit(None).cast("binary").alias("level"))
 
     def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         places: dict[int, list[int]] = {}
         parts: dict[int, list[tuple[int, bytes]]] = {}
         for batch in batches:
@@ -251,6 +254,7 @@ def candidates(nodes: DataFrame, levels: DataFrame, folder: str, tasks: int, bit
                 yield _message("keys", number, [(p, dump_sorted(keys[a:b]), dump(leaders[a:b])) for p, a, b in slices(keys, bits)])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         keys, nodes = [], []
         for batch in batches:
             for row in batch.to_pylist():
@@ -399,7 +403,7 @@ def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[D
     spark = documents.sparkSession
     folder = common.work_dir(spark, "shingles")
     tasks = common.partitions(documents)
-    bits = max(1, (max(4, tasks) - 1).bit_length())
+    bits = common.key_bits(documents)
     docs = common.written(tokenise(documents, folder, size), "documents")
     first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "text_hash")
     sets = docs.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("row").alias("node"), F.min("doc_id").alias("least"), F.min(first).alias("first"))
@@ -421,6 +425,7 @@ def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[D
     placed = placed.select("node", "block", F.when(some, F.col("class")).otherwise(0).alias("class"), F.when(some, chunk).otherwise(0).alias("chunk"))
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common.release()
         for number, rows in _held(batches).items():
             own = Batch(folder, number, rows["node"] & ((1 << PLACES) - 1), size)
             of = np.argsort(rows["node"])
