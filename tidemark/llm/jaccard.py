@@ -401,6 +401,7 @@ def _links(rows: DataFrame, keys: list[str], tasks: int, percent: int) -> DataFr
 def linked(documents: DataFrame, *, size: int = 5, percent: int = 75) -> tuple[DataFrame, DataFrame]:
     """(rows, sets): a row per document with its set's key, and each set with its component's root."""
     spark = documents.sparkSession
+    common.small_batches(spark)
     folder = common.work_dir(spark, "shingles")
     tasks = common.partitions(documents)
     bits = common.key_bits(documents)

@@ -189,6 +189,7 @@ def keep_clean(documents: DataFrame, model: Model, threshold: float = 0.5) -> Da
     to the threshold goes; repeated rows go or stay alike; no rows give none.
     """
     at = documents.columns.index("text")
+    common.small_batches(documents.sparkSession)
 
     def run(batches):
         common.release()
