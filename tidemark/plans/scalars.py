@@ -70,8 +70,8 @@ def location_split(spark, sf_dir):
 
 @query(
     """WITH d AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, o_orderkey % 6 AS kind FROM orders)
-    SELECT id, CASE kind WHEN 4 THEN NULL WHEN 5 THEN CAST('1987-' || strftime(day, '%m-%d') AS DATE) WHEN 3 THEN CASE WHEN day(day) > 12 THEN day END ELSE day END AS date,
-    CASE kind WHEN 3 THEN CASE WHEN day(day) > 12 THEN 'other order' ELSE 'ambiguous' END WHEN 4 THEN 'not a date' ELSE '' END AS problem FROM d WHERE kind <> 3 OR day(day) > 12"""
+    SELECT id, CASE kind WHEN 4 THEN NULL WHEN 5 THEN TRY_CAST('1987-' || strftime(day, '%m-%d') AS DATE) WHEN 3 THEN CASE WHEN day(day) > 12 THEN day END ELSE day END AS date,
+    CASE kind WHEN 3 THEN CASE WHEN day(day) > 12 THEN 'other order' ELSE 'ambiguous' END WHEN 4 THEN 'not a date' WHEN 5 THEN CASE WHEN strftime(day, '%m-%d') = '02-29' THEN 'invalid' ELSE '' END ELSE '' END AS problem FROM d WHERE kind <> 3 OR day(day) > 12"""
 )
 def lab_dates(spark, sf_dir):
     """Dates as laboratories write them: ISO, the stated order, another order, two-digit years, no date."""
