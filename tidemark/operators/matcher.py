@@ -38,7 +38,7 @@ def _flags(*flags: Column) -> Column:
 def _order() -> Column:
     """Own deposits, then the very passage, then the closest one, then the lowest id."""
     rank = texts.passage_rank(F.col("steps"), F.col("wanted") == "egg", F.col("c_steps"), F.col("class") == "egg")
-    return F.struct((~F.col("own")).alias("a"), (~F.col("exact")).alias("b"), rank.alias("c"), texts.id_number(F.col("epi")).alias("d"), F.col("epi").alias("e"), "accession")
+    return F.struct((~F.col("own")).alias("a"), (~F.col("exact")).alias("b"), rank.alias("c"), F.col("lowest").alias("d"))
 
 
 def _copy(n: Column) -> list[Column]:
@@ -50,19 +50,21 @@ def _copy(n: Column) -> list[Column]:
 
 
 def _grouped(rows: DataFrame, *more: Column) -> DataFrame:
+    """Counts of records and the best one per point; a row stands for `records` alike ones, of which `lowest` comes first."""
     own = F.col("own")
+    count = lambda which: F.sum(F.when(which, F.col("records")).otherwise(0))
     return rows.groupBy("point").agg(
-        F.count("*").alias("n"),
-        F.count_if(own).alias("n_own"),
-        F.count_if("exact").alias("n_exact"),
-        F.count_if(own & F.col("exact")).alias("n_exact_own"),
-        F.min_by(F.struct("epi", "accession"), _order()).alias("best"),
+        F.sum("records").alias("n"),
+        count(own).alias("n_own"),
+        count(F.col("exact")).alias("n_exact"),
+        count(own & F.col("exact")).alias("n_exact_own"),
+        F.min_by(F.struct("lowest.epi", "lowest.accession"), _order()).alias("best"),
         *more,
     )
 
 
 def judged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(results, tied rows) of candidate pairs (point, wanted, steps, epi, accession, identity, class, c_steps, own).
+    """(results, tied rows) of candidate pairs (point, wanted, steps, lowest, records, identity, class, c_steps, own).
 
     The best passage class stays; of several sequences the one that the point's
     own laboratory deposited is taken; several records of one sequence give
@@ -75,7 +77,7 @@ def judged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     n_all = F.size(F.collect_set("identity").over(here))
     n_mine = F.size(F.collect_set(F.when(F.col("own"), F.col("identity"))).over(here))
     tier = tier.withColumn("n_all", n_all).withColumn("by_own", (n_all > 1) & (n_mine == 1)).where("own or not by_own")
-    tier = settled(tier.select("point", "wanted", "steps", "epi", "accession", "identity", "class", "c_steps", "own", "exact", "by_own", F.col("pick.flag").alias("picked")), "tier")
+    tier = settled(tier.select("point", "wanted", "steps", "lowest", "records", "identity", "class", "c_steps", "own", "exact", "by_own", F.col("pick.flag").alias("picked")), "tier")
     grouped = _grouped(tier, F.first("picked").alias("picked"), F.first("by_own").alias("by_own"), F.count_distinct("identity").alias("n_identities"))
     one = F.col("n_identities") == 1
     copy = [F.when(one, f) for f in _copy(F.col("n"))]
@@ -87,7 +89,7 @@ def judged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equivalents: DataFrame, number_rules: DataFrame) -> DataFrame:
     """(point, method, epi, accession, flags, n_tied, ranked, status) of every point.
 
-    points: point, stated (an id or ''), location, isolate, year (NULL for a
+    points: point (a row each), stated (an id or ''), location, isolate, year (NULL for a
     name of another shape), wanted (passage class), passage, reassortant, lab.
     candidates: epi, accession, location, isolate, year, class, passage,
     identity, submitter.  submitters: lab, submitter.  equivalents: lab,
@@ -100,8 +102,11 @@ def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equiv
     sequence with the very passage.
     """
     points = points.withColumn("steps", texts.loose_steps(F.col("passage"))).drop("passage")
-    cand = candidates.withColumn("c_steps", texts.loose_steps(F.col("passage"))).drop("passage")
-    cand = cand.withColumnsRenamed({"location": "c_location", "isolate": "c_isolate", "year": "c_year"})
+    records = candidates.withColumn("c_steps", texts.loose_steps(F.col("passage"))).drop("passage")
+    records = records.withColumnsRenamed({"location": "c_location", "isolate": "c_isolate", "year": "c_year"})
+    number = F.struct(texts.id_number(F.col("epi")).alias("number"), "epi", "accession")
+    alike = records.groupBy("c_location", "c_isolate", "c_year", "class", "c_steps", "identity", "submitter")
+    cand = settled(alike.agg(F.count("*").alias("records"), F.min(number).alias("lowest")), "candidates")
     owners = submitters.select(F.col("lab").alias("o_lab"), F.col("submitter").alias("o_submitter")).distinct()
 
     def with_own(pairs: DataFrame) -> DataFrame:
@@ -110,7 +115,7 @@ def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equiv
 
     same_rest = (F.col("isolate") == F.col("c_isolate")) & (F.col("year") == F.col("c_year"))
     squashed = lambda c: F.regexp_replace(F.upper(c), "[^A-Z0-9]", "")
-    stated = points.where("stated <> ''").join(cand, F.col("stated") == F.col("epi"))
+    stated = points.where("stated <> ''").join(records, F.col("stated") == F.col("epi"))
     differs = ~(F.col("location").eqNullSafe(F.col("c_location")) & F.col("isolate").eqNullSafe(F.col("c_isolate")) & F.col("year").eqNullSafe(F.col("c_year")))
     by_id = stated.groupBy("point").agg(F.bool_or(differs).alias("differs"), F.count("*").alias("n"), F.count_distinct("identity").alias("k"), F.min_by(F.struct("epi", "accession"), F.struct("epi", "accession")).alias("best"))
     one = F.col("k") == 1
@@ -118,7 +123,11 @@ def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equiv
     results = by_id.select("point", F.lit("epi").alias("method"), F.when(one, F.col("best")).alias("chosen"), flags.alias("flags"))
     results = settled(results, "stated")
     rest = settled(points.join(results.select("point"), "point", "left_anti"), "rest")
-    keyed = rest.where("location is not null")
+    whole = rest.where("location is not null")
+    shared = ["location", "isolate", "year", "wanted", "steps", "lab"]
+    keyed = settled(whole.groupBy(*shared).agg(F.min("point").alias("point")), "profiles")
+    stands_for = reduce(lambda x, y: x & y, [whole[c].eqNullSafe(keyed[c]) for c in shared])
+    profile = settled(whole.join(keyed, stands_for).select(whole["point"], keyed["point"].alias("profile")), "profile")
 
     other = equivalents.select(F.col("lab").alias("e_lab"), F.col("location").alias("e_location"), "other")
     routes = [
@@ -132,20 +141,29 @@ def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equiv
         result, tied = judged(with_own(pairs(left)))
         said = F.array_append(F.col("flags"), F.lit(flag)) if flag else F.col("flags")
         found.append(result.select("point", F.lit(method).alias("method"), "chosen", said.alias("flags")))
-        ties.append(tied.select("point", "epi", "accession", "identity", "class", "c_steps", "own", "exact", "wanted", "steps"))
+        ties.append(tied.select("point", "lowest", "records", "identity", "class", "c_steps", "own", "exact", "wanted", "steps"))
         left = left.join(result.select("point"), "point", "left_anti")
     by_name = reduce(DataFrame.unionByName, found)
     tied = reduce(DataFrame.unionByName, ties)
-    nothing = rest.join(by_name.select("point"), "point", "left_anti").select("point", F.lit(None).cast("string").alias("method"), F.lit(None).cast("struct<epi:string,accession:string>").alias("chosen"), F.array(F.lit(NONE)).alias("flags"))
+    nothing = keyed.join(by_name.select("point"), "point", "left_anti").select("point", F.lit(None).cast("string").alias("method"), F.lit(None).cast("struct<epi:string,accession:string>").alias("chosen"), F.array(F.lit(NONE)).alias("flags"))
     by_name = settled(by_name.unionByName(nothing), "named")
 
     # the laboratory's own number, for points without a sequence
     open_points = keyed.join(by_name.where("chosen is null").select("point"), "point", "left_semi").join(number_rules.select(F.col("lab").alias("n_lab"), "scope"), F.col("lab") == F.col("n_lab"))
-    province = lambda c: F.when(F.col("scope") == "province", F.split_part(c, F.lit(" "), F.lit(1))).otherwise("")
-    numbered = with_own(open_points.join(cand, same_rest)).where(F.col("own") & (province(F.col("location")) == province(F.col("c_location")))).withColumn("own", F.lit(False))
-    numbered = settled(numbered, "numbered")
-    districts = numbered.groupBy("point").agg(F.count_distinct("c_location").alias("districts"))
-    result, _ = judged(numbered.join(districts.where("districts = 1").select("point"), "point", "left_semi"))
+    open_points = settled(open_points.join(owners, F.col("lab") == F.col("o_lab")), "open")
+    near = same_rest & (F.col("submitter") == F.col("o_submitter"))
+    province = lambda c: F.split_part(c, F.lit(" "), F.lit(1))
+    in_province = F.col("scope").eqNullSafe(F.lit("province"))
+
+    def numbered(left: DataFrame, right: DataFrame) -> DataFrame:
+        return left.where(in_province).join(right, near & (province(F.col("location")) == province(F.col("c_location")))).unionByName(left.where(~in_province).join(right, near))
+
+    # where the number lies is asked per name and laboratory, and only one district's records are judged
+    area = ["location", "isolate", "year", "lab", "scope", "o_submitter"]
+    places = numbered(open_points.select(*area).distinct(), cand.select("c_location", "c_isolate", "c_year", "submitter").distinct())
+    places = places.groupBy("location", "isolate", "year", "lab").agg(F.count_distinct("c_location").alias("districts"))
+    districts = settled(open_points.select("point", "location", "isolate", "year", "lab").distinct().join(places, ["location", "isolate", "year", "lab"]).select("point", "districts"), "districts")
+    result, _ = judged(numbered(open_points.join(districts.where("districts = 1").select("point"), "point", "left_semi"), cand).withColumn("own", F.lit(False)))
     number = result.where("chosen is not null").select("point", F.col("chosen").alias("n_chosen"), F.col("flags").alias("n_flags"))
     both = by_name.join(number, "point", "left").join(districts.where("districts > 1").select("point", F.lit(True).alias("collides")), "point", "left")
     taken = F.col("n_chosen").isNotNull()
@@ -162,12 +180,15 @@ def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equiv
     said = F.when(exact, F.array_append(F.array_distinct(F.concat(F.array_except("flags", F.array(F.lit(AMBIGUOUS))), "s_flags")), F.lit(PASSAGE_EXACT))).otherwise(F.col("flags"))
     by_name = both.select("point", "method", F.coalesce("s_chosen", "chosen").alias("chosen"), said.alias("flags"))
     rank = texts.passage_rank(F.col("steps"), F.col("wanted") == "egg", F.col("c_steps"), F.col("class") == "egg")
-    closest = F.min_by("epi", F.struct(rank, texts.id_number(F.col("epi")), "epi", "accession"))
-    refused = tied.groupBy("point").agg(F.count("*").alias("n_tied"), closest.alias("ranked"))
+    closest = F.min_by("lowest.epi", F.struct(rank, "lowest"))
+    refused = tied.groupBy("point").agg(F.sum("records").alias("n_tied"), closest.alias("ranked"))
+    judgement = by_name.join(refused, "point", "left").withColumnRenamed("point", "profile")
+    told = rest.select("point").join(profile, "point", "left").join(judgement, "profile", "left")
+    by_name = told.select("point", "method", "chosen", F.coalesce("flags", F.array(F.lit(NONE))).alias("flags"), "n_tied", "ranked")
 
-    every = results.unionByName(by_name).join(points.select("point", "stated", "reassortant"), "point")
+    every = results.unionByName(by_name, allowMissingColumns=True).join(points.select("point", "stated", "reassortant"), "point")
     first = _flags(F.when(F.col("reassortant") != "", REASSORTANT), F.when((F.col("stated") != "") & ~F.col("method").eqNullSafe(F.lit("epi")), EPI_NOT_IN_STORE))
-    every = every.withColumn("flags", F.array_distinct(F.concat(first, "flags"))).join(refused, "point", "left")
+    every = every.withColumn("flags", F.array_distinct(F.concat(first, "flags")))
     open_tie = F.col("chosen").isNull()
     status = F.when(open_tie, "unmatched").when(F.arrays_overlap("flags", F.array(*map(F.lit, DOUBTFUL))), "doubtful").otherwise("matched")
     return every.select("point", "method", "chosen.epi", "chosen.accession", "flags", F.coalesce(F.when(open_tie, F.col("n_tied")), F.lit(0)).alias("n_tied"), F.when(open_tie, F.col("ranked")).alias("ranked"), status.alias("status"))
