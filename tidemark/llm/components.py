@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from . import common
 
 LINKS = "a long, b long"
+#: A node with more links than this and than a 500th of all links meets them in several tasks; there are 1,000 such nodes at most.
+MANY = 200
 
 
 class Forest:
@@ -60,21 +62,26 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
 
     Stars are made larger and smaller in turn until each node hangs on its
     root.  A node with very many links costs one minimum, summed per partition,
-    and its links meet it in several tasks.  Each round ends in a written table,
-    and the round before it is deleted.
+    and its links meet it in several tasks; all others are joined once.  Each
+    round ends in a written table, and the round before it is deleted.
     """
     spark = links.sparkSession
     stars = common.written(thinned(links), "stars")
     for _ in range(most_rounds):
         both = stars.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(stars.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        least = common.written(least, "least")
+        many = max(MANY, stars.count() // 500)
+        hubs = F.col("u").isin([row.u for row in least.where(F.col("n") > many).select("u").collect()])
         # each node hangs its larger neighbours on its smallest one
-        large = common.salted_join(both.where("v > u"), least, ["u"], "v").select(F.col("m").alias("a"), F.col("v").alias("b"))
+        above = both.where("v > u")
+        large = above.where(~hubs).join(least.where(~hubs).hint("merge"), "u")
+        large = large.unionByName(common.salted_join(above.where(hubs), least.where(hubs), ["u"], "v")).select(F.col("m").alias("a"), F.col("v").alias("b"))
         down = common.written(thinned(large.where("a <> b")), "stars")
         smallest = down.groupBy("b").agg(F.min("a").alias("m"))
         small = down.join(smallest, "b").select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).where("a <> b").distinct()
         following = common.written(small, "stars")
-        common.discard(stars, down)
+        common.discard(stars, least, down)
         # done when every link is from a root: nobody is at once above and below
         if following.select("a").distinct().join(following.select(F.col("b").alias("a")).distinct(), "a", "left_semi").isEmpty() and following.groupBy("b").count().where("count > 1").isEmpty():
             stars = following
