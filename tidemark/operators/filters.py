@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import settled
+
 
 class RuleError(ValueError):
     """A curated rule that doesn't fit the data."""
@@ -241,15 +243,48 @@ def exact_repeats(tables: DataFrame, content: str, order: str) -> DataFrame:
     return ranked.where("__place > 1").select("table_id", F.col("first").alias("repeats"))
 
 
-def likely_repeats(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+#: Tables of up to so many members are found by pairs of members, larger ones by single members.
+PAIRED = 24
+
+
+def likely_repeats(a: DataFrame, b: DataFrame, on: Sequence[str], least: int = 1) -> DataFrame:
     """Pairs of tables of two deliveries on one day of which more than half of the first one's members are in the second.
 
-    Members are rows (table_id, *on, member) without repeats.
+    Members are rows (table_id, *on, member) without repeats; first tables of
+    fewer than `least` members are left out.
+
+    If t members must be shared, the first one's m - t + 1 rarest members hold
+    one of them, and its m - t + 2 rarest two, so tables meet by one or two rare
+    members that both have.  Those that meet are compared member by member.
     """
-    sizes = a.groupBy("table_id").agg(F.count("*").alias("size"))
-    other = b.withColumnRenamed("table_id", "other")
-    shared = a.join(other, [*on, "member"]).groupBy("table_id", "other").agg(F.count("*").alias("shared"))
-    return shared.join(sizes, "table_id").where("2 * shared > size").select("table_id", "other", "shared", "size")
+    keys = [*on, "member"]
+    known = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in keys])
+    hashed = F.when(known, F.xxhash64(*keys))
+    second = b.withColumnRenamed("table_id", "other").withColumn("__h", hashed)
+    often = second.where(known).groupBy("__h").agg(F.count("*").alias("__often"))
+    first = a.where("table_id is not null").withColumn("__h", hashed).join(often, "__h", "left")
+    rare = F.when(F.col("__often").isNotNull(), F.struct("__often", "__h"))
+    mine = first.groupBy("table_id").agg(F.count("*").alias("size"), F.array_sort(F.collect_list(rare)).getField("__h").alias("mine"))
+    mine = mine.where(F.col("size") >= least).withColumn("must", F.floor(F.col("size") / 2).cast("int") + 1).where(F.size("mine") >= F.col("must"))
+    mine = settled(mine, "mine")
+    theirs = settled(second.where(known).groupBy("other").agg(F.collect_list("__h").alias("theirs")), "theirs")
+
+    two = lambda h: F.flatten(F.transform(h, lambda x, i: F.transform(F.slice(h, i + 2, F.size(h)), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y)))))
+    rarest = lambda more: F.slice("mine", 1, F.least(F.size("mine"), F.size("mine") - F.col("must") + more))
+    meet = lambda x, mine_by, y, theirs_by: x.select("table_id", F.explode(mine_by).alias("__k")).join(y.select("other", F.explode(theirs_by).alias("__k")), "__k").select("table_id", "other")
+    small = F.size("theirs") <= PAIRED
+    met = meet(mine.where(F.col("must").between(2, PAIRED)), two(rarest(2)), theirs.where(small), two(F.col("theirs")))
+    if not (large := theirs.where(~small)).isEmpty():
+        met = met.unionByName(meet(mine.where("must > 1"), rarest(1), large, F.col("theirs")))
+    if least <= 1:
+        met = met.unionByName(meet(mine.where("must = 1"), F.col("mine"), theirs, F.col("theirs")))
+    both = met.distinct().join(mine, "table_id").join(theirs.withColumnRenamed("other", "__other"), F.col("other").eqNullSafe(F.col("__other")))
+    # hashes may only count too many; the members themselves decide
+    most = F.size("theirs") - F.size(F.array_except("theirs", "mine"))
+    close = settled(both.where(most >= F.col("must")).select("table_id", "other", "size"), "close")
+    pairs = close.join(a, "table_id").withColumnRenamed("other", "__other").join(second.drop("__h"), keys).where("other <=> __other")
+    shared = pairs.groupBy("table_id", "other", "size").agg(F.count("*").alias("shared"))
+    return shared.where("2 * shared > size").select("table_id", "other", "shared", "size")
 
 
 def override_bases(bases: DataFrame, named: DataFrame, value: float) -> DataFrame:

@@ -314,7 +314,7 @@ def exact_repeats(spark, sf_dir):
 )
 def likely_repeats(spark, sf_dir):
     rows = _read(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("table_id"), F.col("l_linestatus").alias("grp"), F.col("l_suppkey").alias("member")).distinct()
-    return filters.likely_repeats(rows.where("table_id % 2 = 0"), rows.where("table_id % 2 = 1"), ["grp"]).where("size > 1")
+    return filters.likely_repeats(rows.where("table_id % 2 = 0"), rows.where("table_id % 2 = 1"), ["grp"], least=2)
 
 
 @query("SELECT c_mktsegment AS code, count(*) AS n, min(c_name) AS example FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY 1")
