@@ -31,3 +31,11 @@ def test_alike_points_and_records_are_judged_once(spark):
     assert matcher.REASSORTANT in found[5]["flags"] and matcher.REASSORTANT not in found[7]["flags"]
     tiers = [t for t in glob.glob(f"{folder}/tier-*") if t not in before]
     assert sum(spark.read.parquet(t).count() for t in tiers) < 100
+
+
+def test_counts_of_a_tie_are_of_records(spark):
+    """What match_report adds up: n_tied counts every record, also those that were judged as one."""
+    points = spark.range(3).selectExpr("id as point", "'' as stated", "'LYON' as location", "'7' as isolate", "'2020' as year", "'egg' as wanted", "'' as passage", "'' as reassortant", "'C' as lab")
+    records = spark.range(40).selectExpr("concat('EPI_ISL_', 50 - id) as epi", "'a' as accession", "'LYON' as location", "'7' as isolate", "'2020' as year", "'egg' as class", "'E3' as passage", "concat('id', id % 2) as identity", "'sub9' as submitter")
+    found = matched(spark, points, records).collect()
+    assert [(r["status"], r["n_tied"], r["ranked"]) for r in found] == [("unmatched", 40, "EPI_ISL_11")] * 3
