@@ -35,55 +35,69 @@ def _flags(*flags: Column) -> Column:
     return F.array_compact(F.array(*flags))
 
 
-def _order() -> Column:
-    """Own deposits, then the very passage, then the closest one, then the lowest id."""
-    rank = texts.passage_rank(F.col("steps"), F.col("wanted") == "egg", F.col("c_steps"), F.col("class") == "egg")
-    return F.struct((~F.col("own")).alias("a"), (~F.col("exact")).alias("b"), rank.alias("c"), F.col("lowest").alias("d"))
+def _copy(n: Column, n_own: Column, n_exact: Column, n_exact_own: Column) -> list[Column]:
+    """Flags of the choice among n records of one sequence."""
+    some_own = (n_own > 0) & (n_own < n)
+    copies = F.when(some_own, n_own).otherwise(n)
+    exact = F.when(some_own, n_exact_own).otherwise(n_exact)
+    return [F.when(n > 1, IDENTICAL), F.when((n > 1) & some_own, OWN_LAB), F.when((n > 1) & (exact > 0) & (exact < copies), PASSAGE_EXACT)]
 
 
-def _copy(n: Column) -> list[Column]:
-    """Flags of the choice among n records of one sequence; needs n_own, n_exact and n_exact_own."""
-    some_own = (F.col("n_own") > 0) & (F.col("n_own") < n)
-    copies = F.when(some_own, F.col("n_own")).otherwise(n)
-    exact = F.when(some_own, F.col("n_exact_own")).otherwise(F.col("n_exact"))
-    return [F.when(n > 1, IDENTICAL), F.when((n > 1) & some_own, OWN_LAB), F.when((n > 1) & (exact > 0) & (exact < copies), PASSAGE_EXACT)]
+def judged(pairs: DataFrame) -> DataFrame:
+    """(point, route, chosen, flags, s_chosen, s_flags, n_tied, ranked) of candidate pairs (point, route, wanted, steps, lowest, records, identity, class, c_steps, own).
 
+    A row stands for `records` alike ones, of which `lowest` comes first.  Only
+    the lowest route of a point counts.  The best passage class stays; of several
+    sequences the one that the point's own laboratory deposited is taken; several
+    records of one sequence give one; else the point is refused, and its
+    candidates are tied: s_chosen is the one sequence among them with the very
+    passage, n_tied counts them and ranked is the closest.
+    """
+    here = Window.partitionBy("point")
+    low, high = (lambda c: F.min(c).over(here)), (lambda c: F.max(c).over(here))
+    true = lambda c: F.coalesce(c, F.lit(False))
+    pairs = pairs.withColumn("__first", low("route")).where("route = __first")
+    pairs = pairs.withColumn("exact", (F.size("steps") > 0) & (F.col("class") != "unknown") & (F.col("c_steps") == F.col("steps")))
+    pick = preference(F.col("wanted"), F.collect_set("class").over(here))
+    rank = texts.passage_rank(F.col("steps"), F.col("wanted") == "egg", F.col("c_steps"), F.col("class") == "egg")
+    tier = pairs.withColumn("pick", pick).where("pick.use = 'any' or pick.use = class").withColumn("rank", rank)
+    mine = F.when(F.col("own"), F.col("identity"))
+    by_own = true(low("identity") != high("identity")) & true(low(mine) == high(mine))
+    tier = tier.withColumn("by_own", by_own).where("own or not by_own")
 
-def _grouped(rows: DataFrame, *more: Column) -> DataFrame:
-    """Counts of records and the best one per point; a row stands for `records` alike ones, of which `lowest` comes first."""
-    own = F.col("own")
     count = lambda which: F.sum(F.when(which, F.col("records")).otherwise(0))
-    return rows.groupBy("point").agg(
+    own, exact, same = F.col("own"), F.col("exact"), F.when(F.col("exact"), F.col("identity"))
+    record = F.struct("lowest.epi", "lowest.accession")
+    # own deposits, then the very passage, then the closest one, then the lowest id
+    order = F.struct((~own).alias("a"), (~exact).alias("b"), F.col("rank").alias("c"), F.col("lowest").alias("d"))
+    grouped = tier.groupBy("point").agg(
+        F.first("route").alias("route"),
+        F.first("pick.flag").alias("picked"),
+        F.first("by_own").alias("by_own"),
         F.sum("records").alias("n"),
         count(own).alias("n_own"),
-        count(F.col("exact")).alias("n_exact"),
-        count(own & F.col("exact")).alias("n_exact_own"),
-        F.min_by(F.struct("lowest.epi", "lowest.accession"), _order()).alias("best"),
-        *more,
+        count(exact).alias("n_exact"),
+        count(own & exact).alias("n_exact_own"),
+        F.min_by(record, order).alias("best"),
+        true(F.min("identity") == F.max("identity")).alias("one"),
+        F.min_by(record, F.when(exact, order)).alias("s_best"),
+        true(F.min(same) == F.max(same)).alias("s_one"),
+        F.min_by("lowest.epi", F.struct("rank", "lowest")).alias("ranked"),
     )
-
-
-def judged(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(results, tied rows) of candidate pairs (point, wanted, steps, lowest, records, identity, class, c_steps, own).
-
-    The best passage class stays; of several sequences the one that the point's
-    own laboratory deposited is taken; several records of one sequence give
-    one; else the point is refused, and its candidates are tied.
-    """
-    here = Window.partitionBy("point")
-    pick = preference(F.col("wanted"), F.collect_set("class").over(here))
-    pairs = pairs.withColumn("exact", (F.size("steps") > 0) & (F.col("class") != "unknown") & (F.col("c_steps") == F.col("steps")))
-    tier = pairs.withColumn("pick", pick).where("pick.use = 'any' or pick.use = class")
-    n_all = F.size(F.collect_set("identity").over(here))
-    n_mine = F.size(F.collect_set(F.when(F.col("own"), F.col("identity"))).over(here))
-    tier = tier.withColumn("n_all", n_all).withColumn("by_own", (n_all > 1) & (n_mine == 1)).where("own or not by_own")
-    tier = settled(tier.select("point", "wanted", "steps", "lowest", "records", "identity", "class", "c_steps", "own", "exact", "by_own", F.col("pick.flag").alias("picked")), "tier")
-    grouped = _grouped(tier, F.first("picked").alias("picked"), F.first("by_own").alias("by_own"), F.count_distinct("identity").alias("n_identities"))
-    one = F.col("n_identities") == 1
-    copy = [F.when(one, f) for f in _copy(F.col("n"))]
+    one, n, n_own, n_exact, n_exact_own = map(F.col, ("one", "n", "n_own", "n_exact", "n_exact_own"))
+    copy = [F.when(one, f) for f in _copy(n, n_own, n_exact, n_exact_own)]
     flags = _flags(F.col("picked"), F.when(F.col("by_own"), OWN_LAB), *copy, F.when(~one, AMBIGUOUS))
-    results = settled(grouped.select("point", F.when(one, F.col("best")).alias("chosen"), F.array_distinct(flags).alias("flags")), "judged")
-    return results, tier.join(results.where("chosen is null").select("point"), "point", "left_semi")
+    tied = lambda c: F.when(~one, c)
+    return grouped.select(
+        "point",
+        "route",
+        F.when(one, F.col("best")).alias("chosen"),
+        F.array_distinct(flags).alias("flags"),
+        tied(F.when(F.col("s_one"), F.col("s_best"))).alias("s_chosen"),
+        tied(_flags(*_copy(n_exact, n_exact_own, n_exact, n_exact_own))).alias("s_flags"),
+        tied(n).alias("n_tied"),
+        tied(F.col("ranked")).alias("ranked"),
+    )
 
 
 def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equivalents: DataFrame, number_rules: DataFrame) -> DataFrame:
@@ -113,80 +127,80 @@ def match(points: DataFrame, candidates: DataFrame, submitters: DataFrame, equiv
         both = pairs.join(owners.withColumn("__own", F.lit(True)), (F.col("lab") == F.col("o_lab")) & (F.col("submitter") == F.col("o_submitter")), "left")
         return both.withColumn("own", F.coalesce("__own", F.lit(False))).drop("__own", "o_lab", "o_submitter")
 
-    same_rest = (F.col("isolate") == F.col("c_isolate")) & (F.col("year") == F.col("c_year"))
-    squashed = lambda c: F.regexp_replace(F.upper(c), "[^A-Z0-9]", "")
-    stated = points.where("stated <> ''").join(records, F.col("stated") == F.col("epi"))
-    differs = ~(F.col("location").eqNullSafe(F.col("c_location")) & F.col("isolate").eqNullSafe(F.col("c_isolate")) & F.col("year").eqNullSafe(F.col("c_year")))
-    by_id = stated.groupBy("point").agg(F.bool_or(differs).alias("differs"), F.count("*").alias("n"), F.count_distinct("identity").alias("k"), F.min_by(F.struct("epi", "accession"), F.struct("epi", "accession")).alias("best"))
-    one = F.col("k") == 1
-    flags = _flags(F.when(F.col("differs"), EPI_NAME_DIFFERS), F.when(one & (F.col("n") > 1), IDENTICAL), F.when(~one, SEVERAL))
-    results = by_id.select("point", F.lit("epi").alias("method"), F.when(one, F.col("best")).alias("chosen"), flags.alias("flags"))
-    results = settled(results, "stated")
-    rest = settled(points.join(results.select("point"), "point", "left_anti"), "rest")
-    whole = rest.where("location is not null")
+    # the stated id: what the store's records of it are called
+    name = lambda *columns: F.struct(*[F.col(c).alias(n) for c, n in zip(columns, ("location", "isolate", "year"))])
+    theirs = name("c_location", "c_isolate", "c_year")
+    by_id = records.groupBy("epi").agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.min("identity") == F.max("identity"), F.lit(False)).alias("one"),
+        F.min(F.struct("epi", "accession")).alias("best"),
+        F.min(theirs).alias("least"),
+        F.max(theirs).alias("most"),
+    )
+    own_name = name("location", "isolate", "year")
+    points = points.select("point", "stated", "location", "isolate", "year", "wanted", "steps", "reassortant", "lab")
+    stated = points.where("stated <> ''").join(by_id, F.col("stated") == F.col("epi"), "left")
+    stated = stated.withColumn("differs", ~(own_name.eqNullSafe(F.col("least")) & own_name.eqNullSafe(F.col("most")))).drop("epi", "least", "most")
+    asked = settled(stated.unionByName(points.where("stated is null or stated = ''"), allowMissingColumns=True), "asked")
+
+    # a point's name, class, passage and laboratory decide all else: one judgement for each such profile
     shared = ["location", "isolate", "year", "wanted", "steps", "lab"]
-    keyed = settled(whole.groupBy(*shared).agg(F.min("point").alias("point")), "profiles")
-    stands_for = reduce(lambda x, y: x & y, [whole[c].eqNullSafe(keyed[c]) for c in shared])
-    profile = settled(whole.join(keyed, stands_for).select(whole["point"], keyed["point"].alias("profile")), "profile")
+    keyed = asked.where("n is null and location is not null").groupBy(*shared).agg(F.min("point").alias("point"))
+    keyed = settled(keyed, "profiles")
 
+    same_rest = (F.col("isolate") == F.col("c_isolate")) & (F.col("year") == F.col("c_year"))
+    same_name = (F.col("location") == F.col("c_location")) & same_rest
+    squashed = lambda c: F.regexp_replace(F.upper(c), "[^A-Z0-9]", "")
     other = equivalents.select(F.col("lab").alias("e_lab"), F.col("location").alias("e_location"), "other")
+    left = keyed.join(cand, same_name, "left_anti")
+    spelled = left.join(other, (F.col("lab") == F.col("e_lab")) & (F.col("location") == F.col("e_location"))).drop("e_lab", "e_location")
     routes = [
-        ("name", None, lambda left: left.join(cand, (F.col("location") == F.col("c_location")) & same_rest)),
-        ("location-forms", SPACING, lambda left: left.join(cand, (squashed(F.col("location")) == squashed(F.col("c_location"))) & same_rest)),
-        ("equivalent", EQUIVALENT, lambda left: left.join(other, (F.col("lab") == F.col("e_lab")) & (F.col("location") == F.col("e_location"))).join(cand, (F.col("other") == F.col("c_location")) & same_rest)),
+        ("name", None, keyed.join(cand, same_name)),
+        ("location-forms", SPACING, left.join(cand, (squashed(F.col("location")) == squashed(F.col("c_location"))) & same_rest)),
+        ("equivalent", EQUIVALENT, spelled.join(cand, (F.col("other") == F.col("c_location")) & same_rest).drop("other")),
     ]
-    found, ties = [], []
-    left = keyed
-    for method, flag, pairs in routes:
-        result, tied = judged(with_own(pairs(left)))
-        said = F.array_append(F.col("flags"), F.lit(flag)) if flag else F.col("flags")
-        found.append(result.select("point", F.lit(method).alias("method"), "chosen", said.alias("flags")))
-        ties.append(tied.select("point", "lowest", "records", "identity", "class", "c_steps", "own", "exact", "wanted", "steps"))
-        left = left.join(result.select("point"), "point", "left_anti")
-    by_name = reduce(DataFrame.unionByName, found)
-    tied = reduce(DataFrame.unionByName, ties)
-    nothing = keyed.join(by_name.select("point"), "point", "left_anti").select("point", F.lit(None).cast("string").alias("method"), F.lit(None).cast("struct<epi:string,accession:string>").alias("chosen"), F.array(F.lit(NONE)).alias("flags"))
-    by_name = settled(by_name.unionByName(nothing), "named")
+    pairs = reduce(DataFrame.unionByName, [rows.withColumn("route", F.lit(i)) for i, (_, _, rows) in enumerate(routes)])
+    found = judged(with_own(pairs))
+    method, said = F.lit(None).cast("string"), F.coalesce("flags", F.array(F.lit(NONE)))
+    for i, (known_as, flag, _) in enumerate(routes):
+        method = F.when(F.col("route") == i, known_as).otherwise(method)
+        said = F.when(F.col("route") == i, F.array_append(F.col("flags"), F.lit(flag))).otherwise(said) if flag else said
+    named = keyed.join(found, "point", "left").withColumn("method", method).withColumn("flags", said).drop("route")
+    named = settled(named, "named")
 
     # the laboratory's own number, for points without a sequence
-    open_points = keyed.join(by_name.where("chosen is null").select("point"), "point", "left_semi").join(number_rules.select(F.col("lab").alias("n_lab"), "scope"), F.col("lab") == F.col("n_lab"))
-    open_points = settled(open_points.join(owners, F.col("lab") == F.col("o_lab")), "open")
-    near = same_rest & (F.col("submitter") == F.col("o_submitter"))
-    province = lambda c: F.split_part(c, F.lit(" "), F.lit(1))
-    in_province = F.col("scope").eqNullSafe(F.lit("province"))
-
-    def numbered(left: DataFrame, right: DataFrame) -> DataFrame:
-        return left.where(in_province).join(right, near & (province(F.col("location")) == province(F.col("c_location")))).unionByName(left.where(~in_province).join(right, near))
-
-    # where the number lies is asked per name and laboratory, and only one district's records are judged
-    area = ["location", "isolate", "year", "lab", "scope", "o_submitter"]
-    places = numbered(open_points.select(*area).distinct(), cand.select("c_location", "c_isolate", "c_year", "submitter").distinct())
-    places = places.groupBy("location", "isolate", "year", "lab").agg(F.count_distinct("c_location").alias("districts"))
-    districts = settled(open_points.select("point", "location", "isolate", "year", "lab").distinct().join(places, ["location", "isolate", "year", "lab"]).select("point", "districts"), "districts")
-    result, _ = judged(numbered(open_points.join(districts.where("districts = 1").select("point"), "point", "left_semi"), cand).withColumn("own", F.lit(False)))
+    open_points = named.where("chosen is null").select("point", *shared).join(number_rules.select(F.col("lab").alias("n_lab"), "scope"), F.col("lab") == F.col("n_lab"))
+    open_points = open_points.join(owners, F.col("lab") == F.col("o_lab")).drop("n_lab", "o_lab")
+    # in the point's province or, if the rule is national, anywhere
+    province = lambda c: F.concat(F.lit("="), F.split_part(c, F.lit(" "), F.lit(1)))
+    open_points = open_points.withColumn("area", F.when(F.col("scope").eqNullSafe(F.lit("province")), province(F.col("location"))).otherwise(""))
+    deposits = cand.withColumn("c_area", F.explode(F.array(F.lit(""), province(F.col("c_location")))))
+    near = same_rest & (F.col("submitter") == F.col("o_submitter")) & (F.col("area") == F.col("c_area"))
+
+    # only one district's records are judged, so each number's first and last district are looked up before
+    here = Window.partitionBy("point")
+    districts = deposits.groupBy("c_isolate", "c_year", "submitter", "c_area").agg(F.min("c_location").alias("low"), F.max("c_location").alias("high"))
+    open_points = open_points.join(districts, near).withColumn("collides", F.min("low").over(here) != F.max("high").over(here))
+    open_points = settled(open_points.select("point", *shared, "o_submitter", "area", "collides"), "open")
+    result = judged(open_points.where("not collides").join(deposits, near).withColumn("own", F.lit(False)).withColumn("route", F.lit(0)))
     number = result.where("chosen is not null").select("point", F.col("chosen").alias("n_chosen"), F.col("flags").alias("n_flags"))
-    both = by_name.join(number, "point", "left").join(districts.where("districts > 1").select("point", F.lit(True).alias("collides")), "point", "left")
+    both = named.join(number, "point", "left").join(open_points.where("collides").select("point", "collides").distinct(), "point", "left")
     taken = F.col("n_chosen").isNotNull()
     kept = F.array_except("flags", F.array(F.lit(NONE), F.lit(AMBIGUOUS)))
     said = F.when(taken, F.array_append(F.array_distinct(F.concat(kept, "n_flags")), F.lit(LAB_NUMBER))).when(F.col("collides"), F.array_append("flags", F.lit(COLLISION))).otherwise(F.col("flags"))
-    by_name = settled(both.select("point", F.when(taken, "number").otherwise(F.col("method")).alias("method"), F.coalesce("n_chosen", "chosen").alias("chosen"), said.alias("flags")), "numbered")
+    both = both.withColumn("flags", said).withColumn("method", F.when(taken, "number").otherwise(F.col("method"))).withColumn("chosen", F.coalesce("n_chosen", "chosen"))
 
     # the one sequence of the very passage, for ties
-    tied = settled(tied.join(by_name.where("chosen is null").select("point"), "point", "left_semi"), "tied")
-    same = _grouped(tied.where("exact"), F.count_distinct("identity").alias("k")).where("k = 1")
-    same = same.select("point", F.col("best").alias("s_chosen"), F.array_compact(F.array(*_copy(F.col("n")))).alias("s_flags"))
-    both = by_name.join(same, "point", "left")
-    exact = F.col("s_chosen").isNotNull()
+    exact = F.col("chosen").isNull() & F.col("s_chosen").isNotNull()
     said = F.when(exact, F.array_append(F.array_distinct(F.concat(F.array_except("flags", F.array(F.lit(AMBIGUOUS))), "s_flags")), F.lit(PASSAGE_EXACT))).otherwise(F.col("flags"))
-    by_name = both.select("point", "method", F.coalesce("s_chosen", "chosen").alias("chosen"), said.alias("flags"))
-    rank = texts.passage_rank(F.col("steps"), F.col("wanted") == "egg", F.col("c_steps"), F.col("class") == "egg")
-    closest = F.min_by("lowest.epi", F.struct(rank, "lowest"))
-    refused = tied.groupBy("point").agg(F.sum("records").alias("n_tied"), closest.alias("ranked"))
-    judgement = by_name.join(refused, "point", "left").withColumnRenamed("point", "profile")
-    told = rest.select("point").join(profile, "point", "left").join(judgement, "profile", "left")
-    by_name = told.select("point", "method", "chosen", F.coalesce("flags", F.array(F.lit(NONE))).alias("flags"), "n_tied", "ranked")
-
-    every = results.unionByName(by_name, allowMissingColumns=True).join(points.select("point", "stated", "reassortant"), "point")
+    judgement = both.select(*[F.col(c).alias(f"j_{c}") for c in shared], "method", F.coalesce("chosen", "s_chosen").alias("chosen"), said.alias("flags"), "n_tied", "ranked")
+    stands_for = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"j_{c}")) for c in shared])
+    rest = asked.where("n is null").select("point", "stated", "reassortant", *shared)
+    rest = rest.join(judgement, stands_for, "left").select("point", "stated", "reassortant", "method", "chosen", F.coalesce("flags", F.array(F.lit(NONE))).alias("flags"), "n_tied", "ranked")
+
+    flags = _flags(F.when(F.col("differs"), EPI_NAME_DIFFERS), F.when(F.col("one") & (F.col("n") > 1), IDENTICAL), F.when(~F.col("one"), SEVERAL))
+    results = asked.where("n is not null").select("point", "stated", "reassortant", F.lit("epi").alias("method"), F.when(F.col("one"), F.col("best")).alias("chosen"), flags.alias("flags"))
+    every = results.unionByName(rest, allowMissingColumns=True)
     first = _flags(F.when(F.col("reassortant") != "", REASSORTANT), F.when((F.col("stated") != "") & ~F.col("method").eqNullSafe(F.lit("epi")), EPI_NOT_IN_STORE))
     every = every.withColumn("flags", F.array_distinct(F.concat(first, "flags")))
     open_tie = F.col("chosen").isNull()

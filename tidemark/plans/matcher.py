@@ -112,9 +112,9 @@ def _inputs(spark, sf_dir):
         F.when(key % 10 == 0, "X-1").otherwise("").alias("reassortant"),
         F.when(key % 3 == 0, "A").when(key % 3 == 1, "B").otherwise("C").alias("lab"),
     )
-    submitters = spark.createDataFrame(LABS, "lab string, submitter string")
+    submitters = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, LABS))} AS t(lab, submitter)")
     equivalents = spark.range(23).select(F.lit("A").alias("lab"), F.concat(F.lit("ALIAS "), text(F.col("id"))).alias("location"), F.concat(F.lit("LOC "), text(F.col("id"))).alias("other"))
-    rules = spark.createDataFrame([("B", "province"), ("C", "national")], "lab string, scope string")
+    rules = spark.sql("SELECT * FROM VALUES ('B', 'province'), ('C', 'national') AS t(lab, scope)")
     return points, candidates, submitters, equivalents, rules
 
 
